@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import tokens
+from . import pieces, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and joined pages of page_records that are longer than 2,000 characters."""
+    pages = table(spark, sf_dir, "page_records").select("record_id", "lines")
+    return pieces.oversized(pieces.page_items(pages), ["record_id", "line_pos"])
+
+
+def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines and joined pages as pieces of at most 2,000 characters."""
+    pages = table(spark, sf_dir, "page_records").select("record_id", "lines")
+    return pieces.split_items(pieces.page_items(pages), ["record_id", "line_pos"])
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by byte_bpe_50k."""
     return tokens.encode(table(spark, sf_dir, "documents"))
@@ -25,6 +37,19 @@ def p7_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.decode(p7_ids(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {"p7_ids": p7_ids, "p7_decoded": p7_decoded}
-
-ORACLES: dict[str, str] = {"p7_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents"}
+QUERIES: dict[str, Query] = {
+    "p2_found": p2_found,
+    "p2_pieces": p2_pieces,
+    "p7_ids": p7_ids,
+    "p7_decoded": p7_decoded,
+}
+
+ORACLES: dict[str, str] = {
+    "p2_found": """
+        WITH t AS (SELECT record_id, [x.text for x in lines if x.text is not null] AS kept, [x.text for x in lines] AS texts FROM page_records)
+        SELECT record_id, CAST(line_pos - 1 AS INTEGER) AS line_pos
+        FROM (SELECT record_id, unnest(texts) AS text, generate_subscripts(texts, 1) AS line_pos FROM t) WHERE length(text) > 2000
+        UNION ALL SELECT record_id, -1 AS line_pos FROM t WHERE length(array_to_string(kept, chr(10))) > 2000
+    """,
+    "p7_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
+}
