@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pieces, tokens
+from . import pieces, repeats, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,16 @@ def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.split_items(pieces.page_items(pages), ["record_id", "line_pos"])
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of page_records whose content recurs in their book."""
+    return repeats.repeated_lines(table(spark, sf_dir, "page_records"))
+
+
+def p3_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's text without the recurring lines."""
+    return repeats.cleaned_pages(table(spark, sf_dir, "page_records"))
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by byte_bpe_50k."""
     return tokens.encode(table(spark, sf_dir, "documents"))
@@ -40,6 +50,8 @@ def p7_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "p2_found": p2_found,
     "p2_pieces": p2_pieces,
+    "p3_found": p3_found,
+    "p3_cleaned": p3_cleaned,
     "p7_ids": p7_ids,
     "p7_decoded": p7_decoded,
 }
