@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pieces, repeats, tokens
+from . import pieces, prose, repeats, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,16 @@ def p3_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.cleaned_pages(table(spark, sf_dir, "page_records"))
 
 
+def p6_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics, distance from prose, contributions and kind of every page."""
+    return prose.classified(table(spark, sf_dir, "page_records"), table(spark, sf_dir, "common_words"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages whose body is a list, a table or junk."""
+    return p6_stats(spark, sf_dir).where("kind <> 'prose'").select("record_id", "kind")
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by byte_bpe_50k."""
     return tokens.encode(table(spark, sf_dir, "documents"))
@@ -52,6 +62,8 @@ QUERIES: dict[str, Query] = {
     "p2_pieces": p2_pieces,
     "p3_found": p3_found,
     "p3_cleaned": p3_cleaned,
+    "p6_stats": p6_stats,
+    "p6_found": p6_found,
     "p7_ids": p7_ids,
     "p7_decoded": p7_decoded,
 }
