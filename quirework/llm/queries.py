@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pieces, prose, repeats, tokens
+from . import leaks, pieces, prose, repeats, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +57,16 @@ def p7_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.decode(p7_ids(spark, sf_dir))
 
 
+def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold passages of held-out items, with BM25 score and longest common run."""
+    return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold passages of held-out items."""
+    return p8_leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
 QUERIES: dict[str, Query] = {
     "p2_found": p2_found,
     "p2_pieces": p2_pieces,
@@ -66,6 +76,8 @@ QUERIES: dict[str, Query] = {
     "p6_found": p6_found,
     "p7_ids": p7_ids,
     "p7_decoded": p7_decoded,
+    "p8_leaks": p8_leaks,
+    "p8_found": p8_found,
 }
 
 ORACLES: dict[str, str] = {
