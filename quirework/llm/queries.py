@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import leaks, pieces, prose, repeats, tokens
+from . import leaks, personal, pieces, prose, repeats, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +67,16 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_leaks(spark, sf_dir).select("doc_id", "item_id")
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of personal information in documents."""
+    return personal.places(table(spark, sf_dir, "documents"), table(spark, sf_dir, "given_names"))
+
+
+def p9_sanitised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with typed placeholders in place of personal information."""
+    return personal.sanitised(table(spark, sf_dir, "documents"), table(spark, sf_dir, "given_names"))
+
+
 QUERIES: dict[str, Query] = {
     "p2_found": p2_found,
     "p2_pieces": p2_pieces,
@@ -78,6 +88,8 @@ QUERIES: dict[str, Query] = {
     "p7_decoded": p7_decoded,
     "p8_leaks": p8_leaks,
     "p8_found": p8_found,
+    "p9_found": p9_found,
+    "p9_sanitised": p9_sanitised,
 }
 
 ORACLES: dict[str, str] = {
