@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import leaks, personal, pieces, prose, repeats, tokens
+from . import leaks, personal, pieces, prose, repeats, sentences, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,11 @@ def p3_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.cleaned_pages(table(spark, sf_dir, "page_records"))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places where the sentences of running text end."""
+    return sentences.sentence_ends(table(spark, sf_dir, "page_records"))
+
+
 def p6_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics, distance from prose, contributions and kind of every page."""
     return prose.classified(table(spark, sf_dir, "page_records"), table(spark, sf_dir, "common_words"))
@@ -82,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "p2_pieces": p2_pieces,
     "p3_found": p3_found,
     "p3_cleaned": p3_cleaned,
+    "p5_found": p5_found,
     "p6_stats": p6_stats,
     "p6_found": p6_found,
     "p7_ids": p7_ids,
