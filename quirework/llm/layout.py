@@ -17,6 +17,8 @@ BLANK, HEADER, NUMBER, NOTICE, HEADING, LIST, TABLE, JUNK, TEXT = "blank", "head
 SHORT_LETTERS, SHORT_PAGES = 8, 3
 LONG_LETTERS, LONG_PAGES = 20, 2
 LEAST_SHARE = 0.02
+#: A recurring line is a title if it stands on top of a page in this share of its places.
+TOP_SHARE = 0.4
 
 _NUMBER = re.compile(r"^[^\w]*(?:(?:p|pp|page|s|seite|pág|pag|с|стр)[^\w]+)?(?:\d{1,5}|[ivxlc]{1,9}|[\doOlIiSsBbzZgGqQtTaA|!]{0,3}\d[\doOlIiSsBbzZgGqQtTaA|!]{0,3}|[\doOlI|!]{1,3})[^\w]*$", re.I)
 _NUMBER_ENDS = re.compile(r"^[^\w]*(?:\d{1,5}|[ivxlc]{1,7}|[\doOlISsBb|!]{1,4})(?=\s)|(?<=\s)(?:\d{1,5}|[ivxlc]{1,7}|[\doOlISsBb|!]{1,4})[^\w]*$", re.I)
@@ -74,7 +76,7 @@ def line_kind(t: str) -> str:
 def title_like(t: str, width: float, usual: float) -> bool:
     """Whether a line may be a title: short, without a sentence's end, beginning with a capital where the script has any."""
     core = _NUMBER_ENDS.sub("", t).strip(" *[]—–-=•·")
-    if not core or len(core) > 48 or _TITLE_END.search(core) or re.search(r"[.!?;。！？；,，、]\s?\S", core):
+    if not core or len(core) > 48 or re.search(r"\d[^\W\d_]*\s|\d\d|\s\d", core) or _TITLE_END.search(core) or re.search(r"[.!?;。！？；，、]\s?\S|,\s", core):
         return False
     first = next((c for c in core if c.isalpha()), "")
     if not first or first.islower():
@@ -82,31 +84,34 @@ def title_like(t: str, width: float, usual: float) -> bool:
     return width <= 0.75 * usual
 
 
-def page_roles(texts: Sequence[str | None], widths: Sequence[float | None], repeated: Sequence[bool] | set[int]) -> list[str]:
-    """The role of each line of a page. repeated: the positions of lines that recur in the book."""
-    flags = repeated if isinstance(repeated, set) else {i for i, r in enumerate(repeated) if r}
+def page_roles(texts: Sequence[str | None], widths: Sequence[float | None], repeated: set[int], titles: set[int] = frozenset()) -> list[str]:
+    """The role of each line of a page. repeated: positions of lines that recur in the book; titles: those of them that mostly stand on top of a page."""
+    flags = repeated - titles
     kinds = [line_kind(t or "") for t in texts]
     solid = [i for i, k in enumerate(kinds) if k != BLANK]
     sizes = sorted(widths[i] or 0 for i in solid if kinds[i] == TEXT)
     usual = sizes[len(sizes) * 3 // 4] if sizes else 0
     usual = min(usual, 3 * sizes[len(sizes) // 2]) if sizes else 0
     roles = list(kinds)
-    edge = solid[:1] + solid[-1:]
-    if solid and kinds[solid[0]] == NUMBER:
-        edge += solid[1:2]
-    if len(solid) > 1 and kinds[solid[-1]] == NUMBER:
-        edge += solid[-2:-1]
-    if len(solid) > 2 and solid[0] in flags:
-        edge += solid[1:2]
-    for i in dict.fromkeys(edge):
-        t = texts[i] or ""
-        if roles[i] in (TEXT, LIST, JUNK, TABLE) and not _HEADING.match(t) and title_like(t, widths[i] or 0, max(usual, 1.3 * (widths[i] or 0)) if i == solid[0] or i in flags else usual):
-            top, numbered = i == solid[0], bool(_NUMBER_ENDS.search(t))
-            capital = t.upper() == t and t.lower() != t
-            titled = all(w[0].isupper() or len(w) < 4 or not w[0].isalpha() for w in t.split()) or not any(c.isupper() or c.islower() for c in t)
-            words = len(re.findall(r"[^\W\d_]{2,}", t))
-            if (i in flags and (top or numbered or words <= 5)) or (top and (numbered or capital or titled)) or (numbered and (capital or titled) and words):
-                roles[i] = HEADER
+    edge = list(dict.fromkeys([*solid[:2], *solid[-1:], *(solid[-2:-1] if solid and kinds[solid[-1]] == NUMBER else [])]))
+    for i in edge:
+        t, width = texts[i] or "", widths[i] or 0
+        if i in titles and kinds[i] != NUMBER and title_like(t, 0, 1):
+            roles[i] = HEADER
+    for i in edge:
+        t, width = texts[i] or "", widths[i] or 0
+        if HEADER in roles or i in flags or roles[i] not in (TEXT, LIST, JUNK, TABLE) or _HEADING.match(t):
+            continue
+        top = i == solid[0]
+        if not title_like(t, width, max(usual, 1.4 * width) if top else usual):
+            continue
+        cased = any(c.isupper() or c.islower() for c in t)
+        number = _NUMBER_ENDS.search(t)
+        capital = cased and t.upper() == t and sum(c.isalpha() for c in t) > 3
+        titled = cased and all(w[0].isupper() or len(w) < 4 or not w[0].isalpha() for w in t.split())
+        short = not cased and number is not None and sum(c.isalpha() for c in t) <= 12
+        if short or (top and (capital or titled)) or (number and (capital or titled) and i in (*solid[:2], *solid[-2:])):
+            roles[i] = HEADER
     for i in solid:
         if roles[i] in (TEXT, LIST, JUNK, TABLE) and i in flags:
             roles[i] = NOTICE
@@ -130,21 +135,24 @@ def page_roles(texts: Sequence[str | None], widths: Sequence[float | None], repe
 
 
 def furniture(pages: DataFrame) -> DataFrame:
-    """(record_id, repeated): positions of the lines of each page whose content recurs in its book; pages without any give no row.
+    """(record_id, repeated, titles): positions of the lines of each page whose content recurs in its book, and of those that mostly stand on top; pages without any give no row.
 
     Keys are counted with page bitmaps as in `repeats`, with lower thresholds and without variants.
     """
-    lines = cut(keyed_lines(pages.where("book_id is not null")).where(F.length("key") >= SHORT_LETTERS))
-    counts = cardinality(page_bitmaps(lines), "book_id", "key").where(
-        ((F.length("key") >= LONG_LETTERS) & (F.col("n_pages") >= LONG_PAGES)) | (F.col("n_pages") >= SHORT_PAGES)
-    )
+    lines = cut(keyed_lines(pages.where("book_id is not null"))).where("key <> ''")
+    tops = lines.groupBy("book_id", "key").agg(F.avg(F.when(F.col("line_pos") == 0, 1.0).otherwise(0.0)).alias("top"))
+    counts = cardinality(page_bitmaps(lines), "book_id", "key").where(F.col("n_pages") >= LONG_PAGES).join(tops, ["book_id", "key"])
+    on_top = F.col("top") >= TOP_SHARE
+    letters = F.length("key")
+    counts = counts.where(on_top | ((letters >= LONG_LETTERS) & (F.col("n_pages") >= LONG_PAGES)) | ((letters >= SHORT_LETTERS) & (F.col("n_pages") >= SHORT_PAGES)))
     sizes = pages.where("page_num is not null").groupBy("book_id").agg(F.count_distinct("page_num").alias("book_pages"))
-    keys = counts.join(sizes, "book_id").where(F.col("n_pages") >= LEAST_SHARE * F.col("book_pages")).select("book_id", "key")
-    return lines.join(keys, ["book_id", "key"], "left_semi").groupBy("record_id").agg(F.collect_set("line_pos").alias("repeated"))
+    keys = counts.join(sizes, "book_id").where(on_top | (F.col("n_pages") >= LEAST_SHARE * F.col("book_pages"))).select("book_id", "key", on_top.alias("on_top"))
+    found = lines.join(keys, ["book_id", "key"])
+    return found.groupBy("record_id").agg(F.collect_set("line_pos").alias("repeated"), F.collect_set(F.when(F.col("on_top"), F.col("line_pos"))).alias("titles"))
 
 
 def page_lines(pages: DataFrame, *more: str) -> DataFrame:
-    """(record_id, book_id, page_num, more, texts, widths, repeated): what page_roles needs, one row per page that has lines."""
+    """(record_id, book_id, page_num, more, texts, widths, repeated, titles): what page_roles needs, one row per page that has lines."""
     texts = F.transform("lines", lambda x: x["text"])
     widths = F.transform("lines", lambda x: (F.get(x["bbox"], F.lit(2)) - F.get(x["bbox"], F.lit(0))).cast("int"))
     rows = pages.where(F.size("lines") > 0).select("record_id", "book_id", "page_num", *more, texts.alias("texts"), widths.alias("widths"))

@@ -71,12 +71,15 @@ def bare_number(text: Column) -> Column:
 
 
 def keyed_lines(pages: DataFrame) -> DataFrame:
-    """(record_id, book_id, page_num, line_pos, key) of every line that has a key and is not just a page number. Null lines and texts give none."""
+    """(record_id, book_id, page_num, line_pos, key) of every line with letters that is not just a page number; key may be empty. Null lines and texts give none.
+
+    The key is costly: cut the lineage before filtering by it, or the filter computes it once more.
+    """
     at = pages.select("record_id", "book_id", "page_num", F.posexplode("lines").alias("line_pos", "line")).select(
         "record_id", "book_id", "page_num", "line_pos", F.col("line.text").alias("text")
     )
     at = at.where(F.col("text").rlike(r"\p{L}") & ~bare_number(F.col("text")))
-    return at.select("record_id", "book_id", "page_num", "line_pos", line_key(F.col("text")).alias("key")).where("key <> ''")
+    return at.select("record_id", "book_id", "page_num", "line_pos", line_key(F.col("text")).alias("key"))
 
 
 def page_bitmaps(lines: DataFrame) -> DataFrame:
@@ -139,7 +142,7 @@ def repeated_lines(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: floa
     pages needs record_id, book_id, page_num, lines; other columns are ignored. Null lines, texts and book ids, lines without letters and bare page numbers are
     no cases; pages without page_num count for nothing but their lines can be found. Equal record_ids give equal rows.
     """
-    lines = cut(keyed_lines(pages).where("book_id is not null"))
+    lines = cut(keyed_lines(pages.where("book_id is not null"))).where("key <> ''")
     return lines.join(repeated_keys(pages, lines, min_pages, min_share), ["book_id", "key"], "left_semi").select("record_id", "line_pos")
 
 
