@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import leaks, personal, pieces, prose, repeats, sentences, tokens
+from . import leaks, personal, pieces, prose, repair, repeats, sentences, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,16 @@ def p3_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.cleaned_pages(table(spark, sf_dir, "page_records"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broken and misread words, headers and page numbers of page_records."""
+    return repair.found(table(spark, sf_dir, "page_records"))
+
+
+def p4_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as continuous readable paragraphs."""
+    return repair.repaired(table(spark, sf_dir, "page_records"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places where the sentences of running text end."""
     return sentences.sentence_ends(table(spark, sf_dir, "page_records"))
@@ -87,6 +97,8 @@ QUERIES: dict[str, Query] = {
     "p2_pieces": p2_pieces,
     "p3_found": p3_found,
     "p3_cleaned": p3_cleaned,
+    "p4_found": p4_found,
+    "p4_repaired": p4_repaired,
     "p5_found": p5_found,
     "p6_stats": p6_stats,
     "p6_found": p6_found,
