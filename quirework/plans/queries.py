@@ -1,12 +1,16 @@
-"""Registered queries of the core: each takes a session and a folder of tables."""
+"""Registered queries of the core: each takes a session and a folder of tables. The SQL they are held against is in `oracles`."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import nested
+from ..functions import text as X
+from ..operators import export, lines, nested, notes, page_numbers, quality, render, spans
+from ..operators.pages import boxed_lines, latest, ordinal
+from .oracles import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,13 +31,159 @@ def p1_page_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.select("record_id", "line_pos", "word_pos", "text", "confidence")
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p1_page_words": p1_page_words}
 
-ORACLES: dict[str, str] = {
-    "p1_page_words": """
-        WITH l AS (SELECT record_id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS line_pos FROM page_records),
-        w AS (SELECT record_id, line_pos, unnest(line.words) AS word, generate_subscripts(line.words, 1) - 1 AS word_pos FROM l WHERE line IS NOT NULL)
-        SELECT record_id, CAST(line_pos AS INTEGER) AS line_pos, CAST(word_pos AS INTEGER) AS word_pos, word.text AS text, word.confidence AS confidence
-        FROM w WHERE word IS NOT NULL
-    """,
-}
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "page_records")
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest(_records(spark, sf_dir))
+
+
+def q_text_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text metrics of every page record."""
+    m = _records(spark, sf_dir).select("record_id", quality.metrics(F.col("lines")).alias("m"))
+    return m.select("record_id", "m.char_count", "m.line_count", *[F.round(F.col(f"m.{c}"), 9).alias(c) for c in ("avg_word_conf", "alpha_ratio", "garbage_ratio", "pipe_ratio")])
+
+
+def q_low_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which page records are of no use, with the ratios that decide."""
+    m = _records(spark, sf_dir).select("record_id", quality.metrics(F.col("lines")).alias("m"))
+    return m.select("record_id", quality.low_quality(F.col("m")).alias("low_quality"), F.round("m.alpha_ratio", 9).alias("alpha_ratio"), F.round("m.garbage_ratio", 9).alias("garbage_ratio"))
+
+
+def q_clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readable lines of every page record, without noise."""
+    return _records(spark, sf_dir).select("record_id", F.posexplode(render.clean_lines(F.col("lines"))).alias("line_no", "text"))
+
+
+def q_hyphen_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readable lines of every page record, broken words joined."""
+    return _records(spark, sf_dir).select("record_id", F.posexplode(render.merge_hyphens(render.clean_lines(F.col("lines")))).alias("line_no", "text"))
+
+
+def q_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rendered text of every page record."""
+    return _records(spark, sf_dir).select("record_id", render.rendered(F.col("lines")).alias("text"))
+
+
+def q_roman_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roman value of every printed page text."""
+    t = F.col("printed_page_text")
+    return _records(spark, sf_dir).where(t.isNotNull()).select("record_id", X.roman_letters(t).alias("letters"), X.roman_value(t).alias("value"))
+
+
+def _detected(spark: SparkSession, sf_dir: str, pages: DataFrame) -> DataFrame:
+    return page_numbers.detected(pages, X.scan_side(F.coalesce("scan_relpath", F.lit(""))))
+
+
+def q_printed_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The printed page number detected on every page record."""
+    return _detected(spark, sf_dir, _records(spark, sf_dir)).select("record_id", "found_page", "found_text", "found_kind")
+
+
+def q_page_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Printed page numbers of the latest record of each page after the switch to arabic."""
+    out = page_numbers.switched(_pages(spark, sf_dir).select("record_id", "book_id", "page_num", "printed_page", "printed_page_text", "printed_page_kind"), "printed_page", "printed_page_text", "printed_page_kind")
+    return out.select("book_id", "page_num", "printed_page", "printed_page_kind", "mode")
+
+
+def q_scan_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _records(spark, sf_dir).where("scan_relpath is not null").select("record_id", X.scan_side(F.col("scan_relpath")).alias("side"))
+
+
+def q_natural_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of each scan in its book by natural file name order."""
+    names = _pages(spark, sf_dir).where("scan_relpath is not null").select("book_id", F.regexp_extract("scan_relpath", "([^/]*)$", 1).alias("name"), "record_id")
+    return ordinal(names, "book_id", X.natural_key(F.col("name")), "name", "record_id").select("book_id", "record_id", "ordinal")
+
+
+def q_line_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page record's own words grouped into lines."""
+    grouped = lines.grouped_lines(_records(spark, sf_dir), "record_id", F.col("config.line_y_tolerance_px"))
+    return grouped.select("record_id", F.posexplode("lines").alias("line_pos", "l")).select("record_id", "line_pos", "l.line_id", "l.text", F.array_join("l.bbox", ",").alias("bbox"))
+
+
+def q_line_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the latest record of each page."""
+    at = _pages(spark, sf_dir).select("book_id", "page_num", F.posexplode("lines").alias("line_pos", "l")).where("l is not null")
+    return at.select("book_id", "page_num", "line_pos", "l.line_id", "l.text")
+
+
+def q_shape_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which highlight candidates have the shape of a highlight, by their run's settings."""
+    pages = _pages(spark, sf_dir).select("book_id", "page_num", "page_width", "page_height")
+    c = table(spark, sf_dir, "highlight_candidates").select("run_id", "book_id", "page_num", "config", F.posexplode("candidates").alias("cand_no", "c")).where(F.size("c.bbox") == 4)
+    ok = spans.shape_ok(F.col("c.bbox"), F.col("page_width"), F.col("page_height"), F.col("config.edge_margin_px"), F.col("config.max_hw_ratio"), F.col("config.max_height_frac"))
+    return c.join(pages, ["book_id", "page_num"]).select("run_id", "book_id", "page_num", "cand_no", ok.alias("ok"))
+
+
+def q_trigger_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that each highlight candidate selects."""
+    pages = _pages(spark, sf_dir).select("book_id", "page_num", boxed_lines(F.col("lines")).alias("ls")).where(F.size("ls") > 0)
+    c = table(spark, sf_dir, "highlight_candidates").select("run_id", "book_id", "page_num", F.posexplode("candidates").alias("cand_no", "c")).where(F.size("c.bbox") == 4)
+    hit = F.array_sort(spans.selected_lines(F.col("ls"), F.col("c.bbox")))
+    return c.join(pages, ["book_id", "page_num"]).select("run_id", "book_id", "page_num", "cand_no", F.array_join(hit.cast("array<string>"), ",").alias("picked"))
+
+
+def _spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.page_spans(table(spark, sf_dir, "highlight_candidates"), _pages(spark, sf_dir))
+
+
+def q_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of all highlight candidates."""
+    return _spans(spark, sf_dir).select(
+        "run_id", "book_id", "page_num", "span_id", F.array_join("line_ids", ",").alias("line_ids"), F.array_join(F.transform("trigger_bboxes", lambda b: F.array_join(b, ",")), ";").alias("triggers"), F.array_join("span_bbox", ",").alias("span_bbox")
+    )
+
+
+def _notes(spark: SparkSession, sf_dir: str, clean: bool) -> DataFrame:
+    given = table(spark, sf_dir, "page_spans").select("run_id", "book_id", "page_num", F.explode("spans").alias("s")).select("run_id", "book_id", "page_num", "s.span_id", "s.line_ids", "s.trigger_bboxes", "s.span_bbox")
+    return notes.notes(given, _pages(spark, sf_dir), table(spark, sf_dir, "books"), clean=clean, uuid=F.lit("0"))
+
+
+def q_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The notes of all given spans, as they are written, with their sidecars."""
+    rows = _notes(spark, sf_dir, True)
+    return rows.select("run_id", "book_id", "page_num", "span_id", "note_name", "note", notes.sidecar(rows).alias("sidecar"))
+
+
+def q_notes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quote, title, tags and printed page of the notes of all given spans, quotes as recognised."""
+    return _notes(spark, sf_dir, False).select("run_id", "book_id", "page_num", "span_id", "note_name", "title", "quote", notes.tags_block(F.col("tags")).alias("tags_block"), "printed_page")
+
+
+def q_source_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _notes(spark, sf_dir, False).select("run_id", "book_id", "page_num", "span_id", "source")
+
+
+def q_frontmatter_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether every note's front matter has allowed keys only and is a YAML mapping."""
+    n = F.col("note")
+    return _notes(spark, sf_dir, False).select("run_id", "book_id", "page_num", "span_id", ((F.size(notes.foreign_keys(n)) == 0) & notes.is_yaml_mapping(notes.front_matter(n))).alias("ok"))
+
+
+def q_export_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts of every book's text export."""
+    return export.txt_parts(export.page_text(_pages(spark, sf_dir)))
+
+
+def q_export_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts of every book's text export, text as recognised."""
+    return export.txt_parts(export.page_text(_pages(spark, sf_dir), clean=False))
+
+
+def q_export_md(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts of every book's Markdown export."""
+    return export.md_parts(export.page_text(_pages(spark, sf_dir)), table(spark, sf_dir, "books"))
+
+
+def q_filename_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "books").select("book_id", X.file_name(F.coalesce("title", F.lit(""))).alias("name"))
+
+
+def q_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "books").select("book_id", F.array_join(notes.tags_of(F.col("book_id"), F.col("tags")), "|").alias("tags"))
+
+
+QUERIES: dict[str, Query] = {name: f for name, f in globals().items() if name.startswith(("p1_", "q_")) and callable(f)}
