@@ -161,7 +161,7 @@ def infer_layout(payloads: DataFrame, column: str, record_fields: Iterable[str])
         return "object" in kinds.get(path, ()) and any(f"{path}\x1f{n}" in kinds for n in names)
 
     roots = [p for p in kinds if is_record(p) and p.count("\x1f") <= 2 and not any(s in names for s in p.split("\x1f"))]
-    wrappers = sorted({p.split("\x1f")[1] for p in roots if p.count("\x1f") and p.split("\x1f")[1] != "[]"})
+    wrappers = sorted({keys[0] for p in roots if (keys := [k for k in p.split("\x1f")[1:] if k != "[]"])})
     arrays = set()
     for root in roots:
         for p, k in kinds.items():
