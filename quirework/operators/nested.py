@@ -64,11 +64,12 @@ def flatten_struct(df: DataFrame, key: str, root: str = "record") -> dict[str, D
 class Layout:
     """What all payloads together hold. wrappers: keys of a root object under which records (or one record) stand.
     arrays: paths below a record that hold arrays of objects or of nulls, also where some payloads send them as JSON text.
-    kinds: every path with the kinds of value seen there."""
+    kinds: every path with the kinds of value seen there. fields: names of which an object needs one to be a record."""
 
     wrappers: tuple[str, ...] = ()
     arrays: tuple[tuple[str, ...], ...] = ()
     kinds: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    fields: tuple[str, ...] = ()
 
     def schema_ddl(self) -> str:
         """The merged schema as sorted `path: kinds` lines."""
@@ -169,7 +170,7 @@ def infer_layout(payloads: DataFrame, column: str, record_fields: Iterable[str])
                 rel = p[len(root) + 1 :].split("\x1f")
                 if rel[0] not in wrappers and rel[0] != "[]":
                     arrays.add(tuple(x for x in rel if x != "[]"))
-    return Layout(tuple(wrappers), tuple(sorted(arrays)), {p.replace("\x1f", "."): tuple(sorted(k)) for p, k in kinds.items()})
+    return Layout(tuple(wrappers), tuple(sorted(arrays)), {p.replace("\x1f", "."): tuple(sorted(k)) for p, k in kinds.items()}, tuple(sorted(names)))
 
 
 def _array(v: Column) -> Column:
@@ -190,16 +191,17 @@ def json_records(payloads: DataFrame, key: str, column: str, layout: Layout) ->
     """(key, rec_pos, rec): each record of each payload. A root array holds records or wrapped records; a root object is a wrapper if it has a
     wrapper key of the layout that is not null, else it is the record itself at position 0. Null records give no row."""
     v = F.col("__v")
-    options = [_array(v)]
+    options = [F.try_variant_get(v, "$", "array<variant>")]
     for w in layout.wrappers:
         inner = _child(v, w)
         options += [F.when(_there(inner), _array(inner)), F.when(_there(inner), F.array(inner))]
     body = F.coalesce(*options, F.array(v))
-    table = payloads.select(key, parsed(F.col(column).cast("string")).alias("__v")).where("__v is not null")
+    table = payloads.select(key, parsed(F.col(column).cast("string")).alias("__v"))
     table = table.select(key, F.posexplode(body).alias("rec_pos", "rec")).where(_there(F.col("rec")))
     rec = F.col("rec")
-    text = F.coalesce(F.try_parse_json(F.when(F.try_variant_get(rec, "$", "string").startswith("{"), F.try_variant_get(rec, "$", "string"))), rec)
-    unwrapped = F.coalesce(*[F.when(_there(_child(rec, w)), _child(rec, w)) for w in layout.wrappers], text)
+    # what has a field of a record is one; only what is neither that nor a wrapper may be JSON text
+    plain = F.when(F.greatest(*[_child(rec, n).isNotNull() for n in layout.fields]), rec) if layout.fields else F.lit(None).cast("variant")
+    unwrapped = F.coalesce(*[F.when(_there(_child(rec, w)), _child(rec, w)) for w in layout.wrappers], plain, F.try_parse_json(F.try_variant_get(rec, "$", "string")), rec)
     return table.select(key, "rec_pos", unwrapped.alias("rec"))
 
 
@@ -292,13 +294,8 @@ def page_positions(payloads: DataFrame, key: str = "raw_id", column: str = "payl
 
     # one pass: a record's own words stand as line -1 beside its lines
     lines = F.coalesce(_array(_child(F.col("rec"), "lines")), F.array().cast("array<variant>"))
-    listed = F.transform(
-        lines,
-        lambda line, i: F.struct(
-            i.alias("line_pos"),
-            F.when(_there(line), F.coalesce(F.when(F.size(places(line)) > 0, places(line)), F.array(F.lit(-1)))).alias("at"),
-        ),
-    )
+    seen = F.transform(lines, lambda line, i: F.struct(i.alias("line_pos"), _there(line).alias("there"), places(line).alias("at")))
+    listed = F.transform(seen, lambda x: F.struct(x["line_pos"].alias("line_pos"), F.when(x["there"], F.when(F.size(x["at"]) > 0, x["at"]).otherwise(F.array(F.lit(-1)))).alias("at")))
     own = F.array(F.struct(F.lit(-1).alias("line_pos"), places(F.col("rec")).alias("at")))
     table = records.select(key, "rec_pos", F.explode(F.concat(listed, own)).alias("line")).where("line.at is not null")
     return table.select(key, "rec_pos", F.col("line.line_pos").alias("line_pos"), F.explode("line.at").alias("word_pos"))
