@@ -101,6 +101,8 @@ def page_statistics(pages: DataFrame, common_words: DataFrame) -> DataFrame:
     nonspace = F.greatest(F.col("n_chars") - F.col("spaces"), F.lit(1))
     # signs that are neither letters, digits, spaces nor the usual punctuation
     symbols = count(r"[^\p{L}\p{M}\p{N}\s.,;:!?'\"()’‘“”«»—–\-…、。「」『』！？：；，·•।॥؟،؛¿¡\[\]­¬‐*|]")
+    # a row of dots that leads to a number is no run of noise
+    bare = F.regexp_replace(x, _LEADER, "")
     punctuation = nonspace - F.col("letters") - F.col("digits")
     common = F.coalesce(*[F.when(F.col("language") == k, F.col(f"w_{k}")) for k in words], F.lit(None).cast("int"))
     own_script = F.coalesce(*[F.when(F.col("language") == k, F.col(f"s_{k}") + (F.col("s_zh") if k == "ja" else F.lit(0))) for k in _SCRIPTS], F.col("latin"))
@@ -121,7 +123,7 @@ def page_statistics(pages: DataFrame, common_words: DataFrame) -> DataFrame:
         share(count(_RULE)).alias("rule_share"),
         (symbols / nonspace).alias("symbol_ratio"),
         (F.col("digits") / nonspace).alias("digit_ratio"),
-        ((F.col("n_chars") - F.length(F.regexp_replace(x, _RUN, ""))) / nonspace).alias("run_ratio"),
+        ((F.length(bare) - F.length(F.regexp_replace(bare, _RUN, ""))) / nonspace).alias("run_ratio"),
         F.least(count(_MIXED) / F.col("n_words"), F.lit(1.0)).alias("mixed_share"),
         F.when(common.isNull(), F.lit(0.0)).otherwise(1 - F.least(common / F.col("n_words"), F.lit(1.0))).alias("rare_share"),
         F.greatest((punctuation + F.col("letters") - own_script) / nonspace, F.lit(0.0)).alias("oddness"),
