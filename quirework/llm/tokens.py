@@ -12,6 +12,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from ..plans.lineage import cut
 TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
 
 #: At most so many of the most frequent words are sent to all tasks, each of at most HOT_CHARS characters.
-HOT_WORDS = 131_072
+HOT_WORDS = 262_144
 HOT_CHARS = 64
 
 #: A task hands on its counts after so many distinct words.
@@ -94,26 +95,31 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary:
     words = cut(word_table(docs, text, vocabulary))
     short = words.where(F.length("word") <= HOT_CHARS)
     hot = short.orderBy(F.desc("n"), "word").limit(hot_words).select("word", "ids").toArrow()
-    table = dict(zip(hot.column(0).to_pylist(), map(tuple, hot.column(1).to_pylist()), strict=True))
+    # ids travel as bytes: a text's ids are then one join of byte strings
+    table = {w: np.array(ids, np.int32).tobytes() for w, ids in zip(hot.column(0).to_pylist(), hot.column(1).to_pylist(), strict=True)}
     all_hot = len(table) == words.count()
     known = docs.sparkSession.sparkContext.broadcast(table)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = known.value.get
         for b in batches:
-            values, ends, missing, n = [], [0], [], 0
+            buffers, missing = [], []
             for t in b.column(1).to_pylist():
+                split = split_words(t) if t else []
+                parts = list(map(get, split))
                 gaps = []
-                for w in split_words(t) if t else ():
-                    ids = get(w)
-                    if ids is None:
-                        gaps.append({"at": len(values) - ends[-1], "word": w})
-                    else:
-                        values += ids
-                ends.append(len(values))
+                if None in parts:
+                    at = 0
+                    for i, p in enumerate(parts):
+                        if p is None:
+                            gaps.append({"at": at, "word": split[i]})
+                            parts[i] = b""
+                        else:
+                            at += len(p) // 4
+                buffers.append(b"".join(parts))
                 missing.append(gaps)
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
-            columns = [b.column(0), lists]
+            ends = np.concatenate(([0], np.cumsum([len(x) // 4 for x in buffers]))).astype(np.int32)
+            columns = [b.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(buffers), np.int32)))]
             if not all_hot:
                 columns.append(pa.array(missing, pa.list_(pa.struct([("at", pa.int32()), ("word", pa.string())]))))
             yield pa.RecordBatch.from_arrays(columns, names=["key", "ids", "missing"][: len(columns)])
