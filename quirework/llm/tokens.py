@@ -23,9 +23,8 @@ from ..plans.lineage import cut
 #: Default place of the vocabulary files; a parameter of every operator here.
 TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
 
-#: At most so many of the most frequent words are sent to all tasks, each of at most HOT_CHARS characters.
-HOT_WORDS = 262_144
-HOT_CHARS = 64
+#: Words that are sent to all tasks: of those up to so many characters at most so many, the most frequent ones. Bounds their size to 50 million characters.
+HOT = ((64, 262_144), (4_096, 4_096), (65_536, 256))
 
 #: A task hands on its counts after so many distinct words.
 FLUSH = 500_000
@@ -86,17 +85,20 @@ def word_table(docs: DataFrame, text: str = "text", vocabulary: str = f"{TOKENIZ
     return counted.mapInArrow(encode, "word string, n bigint, ids array<int>")
 
 
-def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = f"{TOKENIZERS}/byte_bpe_50k.json", hot_words: int = HOT_WORDS) -> DataFrame:
+def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = f"{TOKENIZERS}/byte_bpe_50k.json", hot: tuple[tuple[int, int], ...] = HOT) -> DataFrame:
     """(key, ids): the ids of each text, without special tokens; their strings inside a text are ordinary text.
 
     Null and empty texts give an empty list, a null key stays null, repeated rows give repeated rows, other columns are dropped.
-    hot_words bounds what is sent to all tasks; it changes the cost, never the result.
+    hot bounds what is sent to all tasks; it changes the cost, never the result.
     """
     words = cut(word_table(docs, text, vocabulary))
-    short = words.where(F.length("word") <= HOT_CHARS)
-    hot = short.orderBy(F.desc("n"), "word").limit(hot_words).select("word", "ids").toArrow()
+    rows, longer = [], 0
+    for chars, most in hot:
+        tier = words.where((F.length("word") > longer) & (F.length("word") <= chars)).orderBy(F.desc("n"), "word").limit(most).select("word", "ids").toArrow()
+        rows += zip(tier.column(0).to_pylist(), tier.column(1).to_pylist(), strict=True)
+        longer = chars
     # ids travel as bytes: a text's ids are then one join of byte strings
-    table = {w: np.array(ids, np.int32).tobytes() for w, ids in zip(hot.column(0).to_pylist(), hot.column(1).to_pylist(), strict=True)}
+    table = {w: np.array(ids, np.int32).tobytes() for w, ids in rows}
     all_hot = len(table) == words.count()
     known = docs.sparkSession.sparkContext.broadcast(table)
 

@@ -262,8 +262,8 @@ def test_ids_against_the_library(spark):
     t.encode_special_tokens = True
     df = spark.createDataFrame([(i, x, "y", 0) for i, x in enumerate(TEXTS)], "doc_id bigint, text string, word string, key int")
     want = {i: t.encode(x or "", add_special_tokens=False).ids for i, x in enumerate(TEXTS)}
-    for hot in (100000, 3, 0):
-        assert {r.doc_id: list(r.ids) for r in tokens.encode(df, hot_words=hot).collect()} == want
+    for hot in (tokens.HOT, ((64, 3),), ()):
+        assert {r.doc_id: list(r.ids) for r in tokens.encode(df, hot=hot).collect()} == want
     back = {r.doc_id: r.text for r in tokens.decode(tokens.encode(df)).collect()}
     assert back == {i: x or "" for i, x in enumerate(TEXTS)}
     assert tokens.encode(df.limit(0)).count() == 0
