@@ -42,23 +42,16 @@ def _candidate(text: Column, confidence: Column, bbox: Column, source: str, line
 def candidates(words: Column, lines: Column, width: Column, height: Column, side: Column, d: Detection = Detection()) -> Column:
     """array of candidates: words in the top band, and the last tokens of the topmost lines in the band. Words and lines without a box take no part."""
     limit = max(0.0, d.top_band_frac) * F.greatest(F.lit(1), height)
-    inside = lambda y: y * height <= limit
-    placed = lambda a: F.filter(a, lambda w: F.size(w["bbox"]) == 4)
-    from_words = F.filter(F.transform(placed(words), lambda w: _candidate(w["text"], w["confidence"], w["bbox"], "word", F.lit(None).cast("string"), width, height, side)), lambda c: inside(c["y"]))
-    # the topmost lines are chosen before the band decides
-    tops = F.slice(
-        F.array_sort(
-            F.transform(
-                placed(lines),
-                lambda x: F.struct((((x["bbox"][1] + x["bbox"][3]) / 2.0) / F.greatest(F.lit(1), height)).alias("y"), x["bbox"][0].alias("x1"), F.coalesce(x["line_id"], F.lit("")).alias("line_id"), x["bbox"].alias("bbox"), x["words"].alias("words"), x["text"].alias("text")),
-            )
-        ),
-        1,
-        max(0, d.max_top_lines),
-    )
+    middle = lambda x: ((x["bbox"][1] + x["bbox"][3]) / 2.0) / F.greatest(F.lit(1), height)
+    inside = lambda x: (F.size(x["bbox"]) == 4) & (middle(x) * height <= limit)
+    # the band decides before candidates are built: few words stand in it
+    from_words = F.transform(F.filter(words, inside), lambda w: _candidate(w["text"], w["confidence"], w["bbox"], "word", F.lit(None).cast("string"), width, height, side))
+    # the topmost lines are chosen before the band decides; only their places are sorted
+    placed = F.filter(F.transform(lines, lambda x, i: F.when(F.size(x["bbox"]) == 4, F.struct(middle(x).alias("y"), x["bbox"][0].alias("x1"), F.coalesce(x["line_id"], F.lit("")).alias("line_id"), i.alias("i")))), lambda x: x.isNotNull())
+    tops = F.transform(F.slice(F.array_sort(placed), 1, max(0, d.max_top_lines)), lambda x: F.get(lines, x["i"]))
     last = lambda x: F.try_element_at(x["words"], F.lit(-1))
     from_lines = F.transform(
-        F.filter(tops, lambda x: inside(x["y"])),
+        F.filter(tops, inside),
         lambda x: _candidate(
             F.when(F.size(x["words"]) > 0, last(x)["text"]).otherwise(last_token(x["text"])), F.when(F.size(x["words"]) > 0, last(x)["confidence"]).otherwise(F.lit(0.0)), x["bbox"], "line", x["line_id"], width, height, side
         ),
@@ -80,7 +73,8 @@ def roman(found: Column, d: Detection = Detection()) -> Column:
 
 def detected(pages: DataFrame, side: Column, d: Detection = Detection()) -> DataFrame:
     """pages with found_page, found_text, found_kind: the best arabic candidate, else the best roman one, else nulls."""
-    out = pages.withColumn("__c", candidates(F.col("words"), F.col("lines"), F.col("page_width"), F.col("page_height"), side, d))
+    # the side is a column of its own, or every candidate would work it out again
+    out = pages.withColumn("__side", side).withColumn("__c", candidates(F.col("words"), F.col("lines"), F.col("page_width"), F.col("page_height"), F.col("__side"), d))
     out = out.withColumns({"__a": F.array_min(arabic(F.col("__c"), d)), "__r": F.array_min(roman(F.col("__c"), d))})
     a, r = F.col("__a"), F.col("__r")
     return out.withColumns(
@@ -89,7 +83,7 @@ def detected(pages: DataFrame, side: Column, d: Detection = Detection()) -> Data
             "found_text": F.coalesce(a["text"], r["text"]),
             "found_kind": F.when(a.isNotNull(), "arabic").when(r.isNotNull(), "roman"),
         }
-    ).drop("__c", "__a", "__r")
+    ).drop("__side", "__c", "__a", "__r")
 
 
 def switched(pages: DataFrame, value: str = "found_page", text: str = "found_text", kind: str = "found_kind", switch_min: int = 10) -> DataFrame:
