@@ -52,6 +52,11 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.sentence_ends(table(spark, sf_dir, "page_records"))
 
 
+def p5_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sentence of running text with the place where it ends."""
+    return sentences.sentence_units(table(spark, sf_dir, "page_records"))
+
+
 def p6_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics, distance from prose, contributions and kind of every page."""
     return prose.classified(table(spark, sf_dir, "page_records"), table(spark, sf_dir, "common_words"))
@@ -100,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "p4_found": p4_found,
     "p4_repaired": p4_repaired,
     "p5_found": p5_found,
+    "p5_sentences": p5_sentences,
     "p6_stats": p6_stats,
     "p6_found": p6_found,
     "p7_ids": p7_ids,

@@ -169,6 +169,8 @@ def test_sentence_ends_of_pages(spark):
     got = sorted(tuple(r) for r in sentences.sentence_ends(pages(spark, rows)).collect())
     assert got == [(1, 0, 4), (1, 2, 4), (1, 2, 22)]
     assert sentences.sentence_ends(pages(spark, rows).limit(0)).count() == 0
+    units = [(r.sentence_no, r.sentence, r.end_char) for r in sentences.sentence_units(pages(spark, rows[:1])).orderBy("sentence_no").collect()]
+    assert units == [(0, long + " end.", 4), (1, "But now it stops.", 22)]
 
 
 def test_thai_learns_its_ends(spark):
