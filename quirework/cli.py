@@ -12,6 +12,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import __version__
 from .errors import ConfigError, HighlightDependencyError, MissingPathError, OcrDependencyError, OverwriteError
@@ -157,6 +158,8 @@ def run_ocr(args: argparse.Namespace) -> int:
     artifact = F.struct("book_id", "page_num", "scan_relpath", text.alias("text"), "words", "lines", "printed_page", "printed_page_text", "printed_page_kind", F.lit(digest).alias("config_hash"))
     try:
         sink.write_files(records.select(_artifact(run_root, book.book_id, "page_text.json").alias("path"), sink.pretty(artifact).alias("content")), args.overwrite, run_root, args.dry_run)
+        drawn = records.select("page_num", F.transform("words", lambda w: w["bbox"]).alias("first"), F.transform("lines", lambda x: x["bbox"]).alias("second"))
+        _overlays(source.image_frame(spark, paths), drawn, [[0, 0, 220], [220, 120, 0]], "page_overlay.png", run_root, book.book_id, args)
         sink.write_corpus(records, target, args.overwrite, args.dry_run)
         print(f"Processed {records.count()} pages into {target}")
     finally:
@@ -176,6 +179,16 @@ def run_highlights(args: argparse.Namespace) -> int:
     artifact = F.struct(F.lit(book.book_id).alias("book_id"), "page_num", F.col("file_name").alias("scan_filename"), "candidates", echo.alias("config"))
     rows = found.select(_artifact(run_root, book.book_id, "highlight_candidates.json").alias("path"), sink.pretty(artifact).alias("content"))
     n = len(sink.write_files(rows, args.overwrite, run_root, args.dry_run))
+    images = source.image_frame(_spark(), paths)
+    none = F.array().cast("array<array<int>>")
+    _overlays(images, found.select("page_num", F.transform("candidates", lambda c: c["bbox"]).alias("first"), none.alias("second")), [[220, 0, 0], [0, 0, 0]], "highlights_overlay.png", run_root, book.book_id, args)
+
+    @F.udf(T.BinaryType())
+    def mask(height, width, channels, data):
+        return png.encode(highlights.marked_pixels(data, height, width, channels, m)[0].astype("uint8") * 255)
+
+    masks = images.select(_artifact(run_root, book.book_id, "highlight_mask.png").alias("path"), mask("height", "width", "channels", "data").alias("content"))
+    sink.write_files(masks, args.overwrite, run_root, args.dry_run)
     print(f"Processed {n} pages under {run_root}")
     return 0
 
@@ -192,7 +205,7 @@ def run_spans(args: argparse.Namespace) -> int:
     run_root, run_id = _run_root(args, book.book_id, "highlight_candidates.json")
     spark = _spark()
     pages = _last_wins(source.read_pages(spark, _corpus(args.corpus, book.book_id)))
-    scans = {n: str(p) for n, p in enumerate(source.discover_images(book.scans_path), 1)}
+    scans = source.discover_images(book.scans_path)
     s = conf["spans"]
     chosen = spans.Selection(args.k_before, args.k_after, float(s["min_overlap_frac"]), int(s["min_x_overlap_px"]), int(s["max_overlap_lines"]))
     candidates = source.read_candidates(spark, run_root, book.book_id, args.max_pages).withColumn("run_id", F.lit(run_id))
@@ -207,25 +220,29 @@ def run_spans(args: argparse.Namespace) -> int:
     docs = docs.persist()
     try:
         n = len(sink.write_files(docs.select(_artifact(run_root, book.book_id, "spans.json").alias("path"), sink.pretty(artifact).alias("content")), args.overwrite, run_root, args.dry_run))
-        _span_overlays(spark, docs, scans, run_root, book.book_id, args)
+        # spans in green, triggers in red
+        drawn = docs.where("spans is not null").select("page_num", F.transform("spans", lambda s: s["span_bbox"]).alias("first"), F.flatten(F.transform("spans", lambda s: s["trigger_bboxes"])).alias("second"))
+        _overlays(source.image_frame(spark, scans), drawn, [[0, 160, 0], [220, 0, 0]], "spans_overlay.png", run_root, book.book_id, args)
     finally:
         docs.unpersist()
     print(f"Processed {n} pages under {run_root}")
     return 0
 
 
-def _span_overlays(spark: SparkSession, docs: DataFrame, scans: dict[int, str], run_root: Path, book_id: str, args: argparse.Namespace) -> None:
-    """spans_overlay.png of each page whose scan exists: spans in green, triggers in red."""
-    images = source.image_frame(spark, [Path(p) for p in scans.values()])
-    boxes = docs.where("spans is not null").select("page_num", F.transform("spans", lambda s: s["span_bbox"]).alias("green"), F.flatten(F.transform("spans", lambda s: s["trigger_bboxes"])).alias("red"))
-    joined = images.select("page_num", "height", "width", "channels", "data").join(boxes, "page_num")
+@F.udf(T.BinaryType())
+def _drawn(height, width, channels, data, first, second, colours):
+    """A scan as PNG with the outlines of two lists of boxes, each in its colour."""
+    pixels = png.rgb(data, height, width, channels)
+    for boxes, colour in zip((first, second), colours, strict=True):
+        pixels = png.boxed(pixels, [b for b in boxes or [] if b and len(b) == 4], tuple(colour))
+    return png.encode(pixels)
 
-    @F.udf("binary")
-    def draw(height, width, channels, data, green, red):
-        pixels = png.rgb(data, height, width, channels)
-        return png.encode(png.boxed(png.boxed(pixels, green or [], (0, 160, 0)), red or [], (220, 0, 0)))
 
-    rows = joined.select(_artifact(run_root, book_id, "spans_overlay.png").alias("path"), draw("height", "width", "channels", "data", "green", "red").alias("content"))
+def _overlays(images: DataFrame, boxes: DataFrame, colours: list[list[int]], name: str, run_root: Path, book_id: str, args: argparse.Namespace) -> None:
+    """A drawn scan for each page of boxes (page_num, first, second) whose scan exists."""
+    joined = images.select("page_num", "height", "width", "channels", "data").join(boxes, "page_num")
+    both = F.array(*[F.array(*map(F.lit, c)) for c in colours])
+    rows = joined.select(_artifact(run_root, book_id, name).alias("path"), _drawn("height", "width", "channels", "data", "first", "second", both).alias("content"))
     sink.write_files(rows, args.overwrite, run_root, args.dry_run)
 
 

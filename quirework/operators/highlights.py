@@ -98,8 +98,8 @@ def components(mask: np.ndarray) -> np.ndarray:
     return labels
 
 
-def marks(data: bytes, height: int, width: int, channels: int, m: Marker = Marker()) -> list[dict]:
-    """The components of a scan that are large enough, with box, area and mean colour; their shape is judged elsewhere."""
+def marked_pixels(data: bytes, height: int, width: int, channels: int, m: Marker = Marker()) -> tuple[np.ndarray, np.ndarray]:
+    """(mask, colours): the pixels of a marker's colour after cropping, closing and opening, and all pixels as HSV."""
     image = np.frombuffer(data, np.uint8).reshape(height, width, channels)
     bgr = np.repeat(image, 3, 2) if channels == 1 else image[..., :3]
     colours = hsv(bgr)
@@ -110,6 +110,12 @@ def marks(data: bytes, height: int, width: int, channels: int, m: Marker = Marke
         mask[:, width - crop :] = False
     for grow in (True, False, False, True):
         mask = _spread(mask, m.kernel_size, grow)
+    return mask, colours
+
+
+def marks(data: bytes, height: int, width: int, channels: int, m: Marker = Marker()) -> list[dict]:
+    """The components of a scan that are large enough, with box, area and mean colour; their shape is judged elsewhere."""
+    mask, colours = marked_pixels(data, height, width, channels, m)
     labels = components(mask)
     n = labels.max(initial=0) + 1
     flat = labels.ravel()

@@ -51,6 +51,7 @@ def test_chain(spark, book):
     assert run(book, "detect-highlights", "--run-id", "r1") == 0
     found = json.loads((book / "runs/r1/book_b1/page_0001/highlight_candidates.json").read_text())
     assert [c["bbox"] for c in found["candidates"]] == [[100, 195, 300, 225]] and found["config"]["kernel_size"] == 5
+    assert all((book / f"runs/r1/book_b1/page_0002/{n}.png").read_bytes()[:4] == b"\x89PNG" for n in ("page_overlay", "highlights_overlay", "highlight_mask"))
     assert run(book, "make-spans") == 0
     spans = json.loads((book / "runs/r1/book_b1/page_0001/spans.json").read_text())
     assert spans["spans"][0]["span_id"] == "p1_s1" and len(spans["spans"][0]["line_ids"]) == 5
