@@ -1,8 +1,8 @@
 """Repair of text from scanned pages: broken words joined, misrecognised words corrected, running headers and page numbers taken out.
 
 The frequent words of the whole corpus are the lexicon. A symmetric-delete index joins every other word with the words of the lexicon that it may stand for:
-both sides offer their folded form (look-alike signs made equal) and that form with any one letter left out, and meet where they share one. A weighted edit
-distance, in which look-alike signs cost little, and the ratio of the counts decide whether a word is a misreading; for words with several near corrections the
+both sides offer their folded forms (look-alike signs made equal), these with any one letter left out, and the word with each single confusion put in, and meet
+where they share one. A weighted edit distance, in which look-alike signs cost little, and the ratio of the counts decide whether a word is a misreading; for words with several near corrections the
 word before decides, by the counts of the pairs. A word's confidence against the rest of its line shifts the limit.
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -41,6 +41,7 @@ _GROUPS = {("rn", "m"), ("ri", "n"), ("ii", "u"), ("li", "h"), ("cl", "d"), ("vv
 _FOLD = str.maketrans("аеорсухкмтвнιορντυκαηωγіїїёo0@$€5ſ9681!|jtfvyecq2", "aeopcyxkmtbhiopvtukanwyiiieooas" + "essgbbllllffvvccgz")
 _FOLD_GROUPS = (("ii", "u"), ("rn", "m"), ("ri", "n"), ("in", "m"), ("nn", "m"), ("vv", "w"), ("li", "h"), ("cl", "d"))
 
+_SIGNS = re.compile(r"[^\w@!|$€]")
 _LATIN = re.compile(r"[A-Za-zÀ-ɏ]")
 _OTHER_ALPHABET = re.compile(r"[Ͱ-ϿЀ-ӿἀ-῿]")
 _INNER_SIGN = re.compile(r"(?<=[^\W\d_])[~^*|@#$€£¢<>{}=+§_(!\\](?=[^\W\d_])|(?<=[a-zà-ÿа-яα-ω])[,;:](?=[a-zà-ÿа-яα-ωά-ώ])|^[~^@|\\](?=[^\W\d_]{2})|(?<=[^\W\d_]{2})[~^@|\\]$")
@@ -59,14 +60,52 @@ def core(piece: str) -> str:
     return _EDGES.sub("", piece).casefold()
 
 
+def plain_fold(word: str) -> str:
+    """A word with single look-alike signs made equal and signs inside it dropped; letter groups stay as they are."""
+    return _SIGNS.sub("", word.casefold()).translate(_FOLD).replace("i", "l")
+
+
 def fold(word: str) -> str:
-    """A word with look-alike signs made equal and signs inside it dropped."""
-    w = re.sub(r"[^\w@!|$€]", "", word.casefold())
+    """A word with look-alike signs and letter groups made equal and signs inside it dropped."""
+    w = _SIGNS.sub("", word.casefold())
     for a, b in _FOLD_GROUPS:
         w = w.replace(a, b)
     return w.translate(_FOLD).replace("i", "l")
 
 
+#: What each sign or letter group may be taken for; pairs that plain_fold makes equal are left to it.
+_SWAPS: dict[str, list[str]] = {}
+for _a, _b in [*(sorted(p) for p in _ALIKE), *_GROUPS]:
+    if plain_fold(_a) != plain_fold(_b):
+        _SWAPS.setdefault(_a, []).append(_b)
+        _SWAPS.setdefault(_b, []).append(_a)
+_SWAP_SIZES = sorted({len(a) for a in _SWAPS})
+
+
+def confused(word: str) -> Iterator[str]:
+    """The word with each single confusion of _ALIKE and _GROUPS, in either direction, at each of its places."""
+    for i in range(len(word)):
+        for size in _SWAP_SIZES:
+            for b in _SWAPS.get(word[i : i + size], ()) if i + size <= len(word) else ():
+                yield word[:i] + b + word[i + size :]
+
+
+def meeting_keys(word: str, lexicon: bool) -> set[str]:
+    """What a word offers to the index, as a word of the lexicon or as one that may be misread.
+
+    Two words meet if they differ by any look-alikes that plain_fold makes equal and, besides, by at most two other confusions, or by one and another letter
+    (in words of the lexicon of five letters or more).
+    """
+    out = deletes(fold(word)) | deletes(plain_fold(word))
+    for v in confused(word):
+        p = plain_fold(v)
+        if lexicon and len(word) > 4:
+            out |= deletes(p)
+        else:
+            out.add(p)
+    return out
+
+
 def deletes(folded: str) -> set[str]:
     """The form itself and, from four letters on, with any one letter left out."""
     out = {folded}
@@ -75,6 +114,18 @@ def deletes(folded: str) -> set[str]:
     return out
 
 
+#: Pairs of _GROUPS, in either direction, by their two first letters.
+_GROUPS_AT: dict[str, list[tuple[str, str]]] = {}
+for _a, _b in _GROUPS:
+    for _p, _q in ((_a, _b), (_b, _a)):
+        _GROUPS_AT.setdefault(_p[0] + _q[0], []).append((_p, _q))
+
+
+@lru_cache(1 << 16)
+def _alike(a: str, b: str) -> bool:
+    return frozenset((a, b)) in _ALIKE or a.translate(_FOLD) == b.translate(_FOLD)
+
+
 def distance(wrong: str, right: str, limit: float = 3.0) -> float:
     """Weighted edit distance: look-alikes 0.3, letter groups 0.4, a sign put into a word 0.2, another letter instead 1, a letter more or less 1.3."""
     n, m = len(wrong), len(right)
@@ -89,16 +140,15 @@ def distance(wrong: str, right: str, limit: float = 3.0) -> float:
                 continue
             if i < n and j < m:
                 a, b = wrong[i], right[j]
-                c = 0.0 if a == b else 0.3 if frozenset((a, b)) in _ALIKE or a.translate(_FOLD) == b.translate(_FOLD) else 1.0
+                c = 0.0 if a == b else 0.3 if _alike(a, b) else 1.0
                 row[i + 1][j + 1] = min(row[i + 1][j + 1], v + c)
             if i < n:
                 row[i + 1][j] = min(row[i + 1][j], v + (0.2 if not wrong[i].isalnum() else 1.3))
             if j < m:
                 row[i][j + 1] = min(row[i][j + 1], v + 1.3)
-            for x, y in _GROUPS:
-                for p, q in ((x, y), (y, x)):
-                    if wrong.startswith(p, i) and right.startswith(q, j):
-                        row[i + len(p)][j + len(q)] = min(row[i + len(p)][j + len(q)], v + 0.4)
+            for p, q in _GROUPS_AT.get(wrong[i : i + 1] + right[j : j + 1], ()):
+                if wrong.startswith(p, i) and right.startswith(q, j):
+                    row[i + len(p)][j + len(q)] = min(row[i + len(p)][j + len(q)], v + 0.4)
     return row[n][m]
 
 
@@ -202,29 +252,36 @@ def word_counts(lines: DataFrame) -> DataFrame:
 
 
 def corrections(counts: DataFrame) -> DataFrame:
-    """(word, right, cost, word_n, n): words that may be misread, with the frequent words they may stand for. Spread by the deletes that both sides share."""
+    """(word, right, cost, word_n, n): words that may be misread, with the frequent words they may stand for. Spread by the keys that both sides share."""
     kind = "key string, word string, n bigint"
 
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            k, w, n = [], [], []
-            for word, count in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if any(c.isalpha() for c in word) and len(word) > 2 and len(word) < 60:
-                    for d in deletes(fold(word)):
-                        k.append(d)
-                        w.append(word)
-                        n.append(count)
-            yield pa.RecordBatch.from_pydict({"key": pa.array(k, pa.string()), "word": pa.array(w, pa.string()), "n": pa.array(n, pa.int64())})
+    def index(lexicon: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        # a misread word has three letters at least; its correction may have one less
+        least = 2 if lexicon else 3
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for at in range(0, whole.num_rows, 1000):
+                    k, w, n = [], [], []
+                    for word, count in zip(*(c.to_pylist() for c in whole.slice(at, 1000).columns), strict=True):
+                        if any(c.isalpha() for c in word) and least <= len(word) < 60:
+                            keys = meeting_keys(word, lexicon)
+                            k += keys
+                            w += [word] * len(keys)
+                            n += [count] * len(keys)
+                    yield pa.RecordBatch.from_pydict({"key": pa.array(k, pa.string()), "word": pa.array(w, pa.string()), "n": pa.array(n, pa.int64())})
+
+        return run
 
     table = counts.select("word", "n").where("not word rlike '[\\u2e80-\\uffff\\u0e00-\\u0e7f]'")
-    right = table.where(F.col("n") >= RATIO).mapInArrow(index, kind).select("key", F.col("word").alias("right"), F.col("n").alias("right_n"))
+    right = table.where(F.col("n") >= RATIO).mapInArrow(index(True), kind).select("key", F.col("word").alias("right"), F.col("n").alias("right_n"))
     most = table.agg(F.max("n")).first()[0] or 0
-    wrong = table.where(F.col("n") * RATIO <= most).mapInArrow(index, kind)
+    wrong = table.where(F.col("n") * RATIO <= most).mapInArrow(index(False), kind)
     met = wrong.join(right, "key").where((F.col("right_n") >= RATIO * F.col("n")) & (F.col("word") != F.col("right"))).select("word", "right", "n", "right_n").distinct()
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cost = [distance(w, r) for w, r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            cost = [distance(w, r, allowed(len(w), True)) for w, r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cost, pa.float64())], names=["word", "right", "word_n", "n", "cost"])
 
     far = F.when(F.length("word") <= 3, 0.35).when(F.length("word") == 4, 0.7).when(F.length("word") <= 8, 1.0).otherwise(1.4) + 0.4

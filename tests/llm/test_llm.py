@@ -201,6 +201,26 @@ def test_one_changed_letter_shares_a_delete(word, at, letter):
         assert repair.deletes(repair.fold(word)) & repair.deletes(repair.fold(wrong))
 
 
+def test_every_priced_confusion_meets():
+    meet = lambda wrong, right: repair.meeting_keys(wrong, False) & repair.meeting_keys(right, True)
+    pairs = [tuple(p) for p in repair._ALIKE] + list(repair._GROUPS)
+    for a, b in pairs + [(b, a) for a, b in pairs]:
+        for left, rest in (("w", "p"), ("pe", "lde"), ("cl", ""), ("", "ing")):
+            wrong, right = left + a + rest, left + b + rest
+            if len(wrong) > 2 and len(right) > 1:
+                assert meet(wrong, right), (wrong, right)
+    for pair in "fouowed/followed müuer/müller scldom/seldom barrcl/barrel shclf/shelf cou/con tho/the hcou/bcon scldorn/seldom fouowcz/followed".split():
+        assert meet(*pair.split("/")), pair
+
+
+def test_corrections_beyond_the_fold(spark):
+    right = "followed müller seldom barrel con the".split()
+    wrong = "fouowed müuer scldom barrcl cou tho".split()
+    counts = spark.createDataFrame([(w, 400) for w in right] + [(w, 2) for w in wrong], "word string, n bigint")
+    got = {(r.word, r.right) for r in repair.corrections(counts).where("cost <= 0.4").collect()}
+    assert got == set(zip(wrong, right, strict=True))
+
+
 def test_wrong_forms():
     assert all(map(repair.wrong_form, ["h@mlet", "5ame", "Read!ng", "resAle.", "travel~lers", "33,l20", "ψaρας", "conce,rned", "Ge|scannt"]))
     assert not any(map(repair.wrong_form, ["hamlet,", "1st", "etc.", "Bracieux-le-Val.", "LODGE", "d’eau", "20:05", "3/4", "p.", "McAdam", "長さ110メート", "“Every"]))
