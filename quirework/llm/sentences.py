@@ -293,7 +293,7 @@ def _learn(s: Stream, script: str, out: Counter) -> None:
 
 
 def streams(lines: DataFrame) -> DataFrame:
-    """(record_id, script, text, starts, lines, ends): the running text of each page (as `page_lines` gives them) as one string."""
+    """(record_id, book_id, page_num, script, text, starts, lines, ends): the running text of each page (as `page_lines` gives them) as one string."""
     names = lines.columns
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,22 +306,22 @@ def streams(lines: DataFrame) -> DataFrame:
             ints = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
-                    b.column(names.index("record_id")),
+                    *(b.column(names.index(n)) for n in ("record_id", "book_id", "page_num")),
                     pa.array([script_of(s.text) for s in made], pa.string()),
                     pa.array([s.text for s in made], pa.string()),
                     pa.array([s.starts for s in made], ints),
                     pa.array([s.lines for s in made], ints),
                     pa.array([sorted(s.paragraph_ends) for s in made], ints),
                 ],
-                names=["record_id", "script", "text", "starts", "lines", "ends"],
+                names=["record_id", "book_id", "page_num", "script", "text", "starts", "lines", "ends"],
             )
 
-    kind = lines.schema["record_id"].dataType.simpleString()
-    return lines.mapInArrow(make, f"record_id {kind}, script string, text string, starts array<int>, lines array<int>, ends array<int>")
+    kinds = ", ".join(f"{n} {lines.schema[n].dataType.simpleString()}" for n in ("record_id", "book_id", "page_num"))
+    return lines.mapInArrow(make, f"{kinds}, script string, text string, starts array<int>, lines array<int>, ends array<int>")
 
 
 def _streams(batch: pa.RecordBatch) -> Iterator[tuple[int, Stream, str]]:
-    for row, (script, *parts, ends) in enumerate(zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True)):
+    for row, (script, *parts, ends) in enumerate(zip(*(c.to_pylist() for c in batch.columns[3:8]), strict=True)):
         yield row, Stream(*parts, set(ends)), script
 
 
@@ -349,39 +349,133 @@ def learn(running: DataFrame) -> Model:
     return Model({(r.s, r.k, r.t): r.n for r in rows})
 
 
-def sentence_units(pages: DataFrame) -> DataFrame:
-    """(record_id, sentence_no, line_pos, end_char, sentence): every sentence of running text with the place where it ends.
+def _page_units(pages: DataFrame) -> DataFrame:
+    """The sentences of each page by itself, with book_id, page_num, script, row (one for each row of pages) and first (the page's first piece).
 
-    A sentence that goes on beyond its page stands as its part on each page; the part before a page's end has null line_pos and end_char. Line breaks become spaces, nothing
-    in scripts without spaces between words. The defined cases are those of `sentence_ends`.
+    The last piece of a page has null line_pos and end_char: what no end closes, empty if nothing is left.
     """
-    running = cut(streams(page_lines(pages)))
-    kind = running.schema["record_id"].dataType
+    running = cut(streams(page_lines(pages)).withColumn("row", F.monotonically_increasing_id()))
+    kinds = ", ".join(f"{n} {running.schema[n].dataType.simpleString()}" for n in ("record_id", "book_id", "page_num"))
     sent = running.sparkSession.sparkContext.broadcast(learn(running))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows, numbers, lines, ends, texts = [], [], [], [], []
+            rows, numbers, lines, ends, texts, firsts = [], [], [], [], [], []
             for row, s, script in _streams(b):
-                glue = "" if script in ("ja", "zh", "th") else " "
                 found = decode(s, script, sent.value)
-                begin = 0
+                begin, first = 0, True
                 for n, end in enumerate([*found, None]):
                     text = s.text[begin:end].strip()
-                    if text:
+                    if text or (end is None and not first):
                         line, at = s.place(end) if end is not None else (None, None)
                         rows.append(row)
                         numbers.append(n)
                         lines.append(line)
                         ends.append(at)
-                        texts.append(glue.join(text.split("\n")))
+                        texts.append(_glue(script).join(text.split("\n")))
+                        firsts.append(first)
+                        first = False
                     begin = end
+            at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(rows, pa.int64())), pa.array(numbers, pa.int32()), pa.array(lines, pa.int32()), pa.array(ends, pa.int32()), pa.array(texts, pa.string())],
-                names=["record_id", "sentence_no", "line_pos", "end_char", "sentence"],
+                [*(b.column(k).take(at) for k in (0, 1, 2, 3, 8)), pa.array(firsts, pa.bool_()), pa.array(numbers, pa.int32()), pa.array(lines, pa.int32()), pa.array(ends, pa.int32()), pa.array(texts, pa.string())],
+                names=["record_id", "book_id", "page_num", "script", "row", "first", "sentence_no", "line_pos", "end_char", "sentence"],
             )
 
-    return running.mapInArrow(run, f"record_id {kind.simpleString()}, sentence_no int, line_pos int, end_char int, sentence string")
+    return running.mapInArrow(run, f"{kinds}, script string, row bigint, first boolean, sentence_no int, line_pos int, end_char int, sentence string")
+
+
+def _glue(script: str) -> str:
+    return "" if script in ("ja", "zh", "th") else " "
+
+
+def _joined(script: str, parts: list[str]) -> str:
+    """Parts of a sentence from consecutive pages; a word broken at the end of a page goes on as at the end of a line."""
+    out = ""
+    for t in parts:
+        glue = "" if not out or (out[-1] in _HYPHENS and out[-2:-1].isalpha()) else _glue(script)
+        out += glue + t
+    return out
+
+
+def _chains(places: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(book_id, page_num, start): for each page of a book the page where the piece begins that is open at its end.
+
+    A page that ends no sentence, or has no running text, carries on what the page before leaves open. Pointers are doubled, so that no book is ordered in one task.
+    """
+    nodes = cut(places.join(chosen.select("book_id", "page_num", "first"), ["book_id", "page_num"], "left").select("book_id", "page_num", F.coalesce("first", F.lit(True)).alias("passing")))
+    before = nodes.select("book_id", (F.col("page_num") + 1).alias("page_num"))
+    links = cut(nodes.where("passing").join(before, ["book_id", "page_num"], "left_semi").select("book_id", "page_num", (F.col("page_num") - 1).alias("to")))
+    while True:
+        on = links.select("book_id", F.col("page_num").alias("to"), F.col("to").alias("further"))
+        links = cut(links.join(on, ["book_id", "to"], "left").select("book_id", "page_num", F.coalesce("further", "to").alias("to"), F.col("further").isNotNull().alias("moved")))
+        if links.where("moved").isEmpty():
+            break
+        links = links.drop("moved")
+    return nodes.join(links.drop("moved"), ["book_id", "page_num"], "left").select("book_id", "page_num", F.coalesce("to", "page_num").alias("start"))
+
+
+def _whole(script_parts: list[dict], heads: list[dict]) -> Iterator[dict]:
+    """Sentences of one chain: each head with the open parts before it that are of its script; parts that no head takes stand together."""
+    parts = sorted(script_parts, key=lambda m: m["page_num"])
+    used = len(parts)
+    for h in heads:
+        k = len(parts)
+        while k and parts[k - 1]["script"] == h["script"]:
+            k -= 1
+        used = min(used, k)
+        yield h | {"sentence": _joined(h["script"], [m["sentence"] for m in parts[k:]] + [h["sentence"]])}
+    run: list[dict] = []
+    for m in parts[:used]:
+        if run and run[-1]["script"] != m["script"]:
+            yield run[-1] | {"sentence": _joined(run[-1]["script"], [x["sentence"] for x in run])}
+            run = []
+        run.append(m)
+    if run:
+        yield run[-1] | {"sentence": _joined(run[-1]["script"], [x["sentence"] for x in run])}
+
+
+def sentence_units(pages: DataFrame) -> DataFrame:
+    """(record_id, sentence_no, line_pos, end_char, sentence): every sentence of running text with the place where it ends.
+
+    A sentence that runs over pages comes out once, whole, with the record where it ends; pages without running text are passed over, a missing page_num or another script
+    breaks it off. What nothing closes has null line_pos and end_char. Of several scans of a page the one with the highest record_id goes on; another scan's open part stands by itself
+    where it differs. Line breaks become spaces, nothing in scripts without spaces between words. The defined cases are those of `sentence_ends`.
+    """
+    units = cut(_page_units(pages))
+    out = ["record_id", "sentence_no", "line_pos", "end_char", "sentence"]
+    numbered = units.where("book_id is not null and page_num is not null")
+    ends_open = numbered.where("line_pos is null")
+    scan = F.max(F.struct("record_id", "row", "sentence", "first")).alias("c")
+    chosen = cut(ends_open.groupBy("book_id", "page_num").agg(scan).select("book_id", "page_num", "c.row", "c.first", F.col("c.sentence").alias("going_on")))
+    places = pages.where("book_id is not null and page_num is not null").select("book_id", "page_num").distinct()
+    starts = cut(_chains(places, chosen))
+    opens = ends_open.join(chosen.select("book_id", "page_num", F.col("row").alias("taken"), "going_on"), ["book_id", "page_num"])
+    parts = opens.where("row = taken and sentence <> ''").join(starts, ["book_id", "page_num"])
+    others = opens.where("row <> taken and sentence <> '' and sentence <> going_on")
+    before = starts.select("book_id", (F.col("page_num") + 1).alias("page_num"), "start")
+    heads = numbered.where("first and line_pos is not null").join(before, ["book_id", "page_num"], "left")
+    member = F.struct("page_num", "script", *out)
+    members = parts.select("book_id", "start", member.alias("m")).unionByName(heads.where("start is not null").select("book_id", "start", member.alias("m")))
+    chains = members.groupBy("book_id", "start").agg(F.collect_list("m").alias("ms")).select("ms")
+    made = units.select(*out).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            kind = b.schema.field(0).type.value_type
+            names = pa.schema([kind.field(kind.get_field_index(n)) for n in out])
+            rows = []
+            for ms in b.column(0).to_pylist():
+                rows += _whole([m for m in ms if m["line_pos"] is None], [m for m in ms if m["line_pos"] is not None])
+            yield pa.RecordBatch.from_pylist([{n: r[n] for n in out} for r in rows], schema=names)
+
+    whole = chains.mapInArrow(run, made)
+    inner = units.where("line_pos is not null and not (first and book_id is not null and page_num is not null)")
+    lone = units.where("line_pos is null and sentence <> '' and (book_id is null or page_num is null)")
+    rest = [x.select(*out) for x in (inner, lone, others, heads.where("start is null"))]
+    for x in rest:
+        whole = whole.unionByName(x)
+    return whole
 
 
 def sentence_ends(pages: DataFrame) -> DataFrame:
@@ -390,4 +484,4 @@ def sentence_ends(pages: DataFrame) -> DataFrame:
     pages needs record_id, book_id, page_num, lines; other columns are ignored. Pages without lines, null lines and texts, headers, notices, page numbers, headings, lists,
     tables and junk end no sentence. Repeated rows with one record_id give the same places for each.
     """
-    return sentence_units(pages).where("line_pos is not null").select("record_id", "line_pos", "end_char")
+    return _page_units(pages).where("line_pos is not null").select("record_id", "line_pos", "end_char")

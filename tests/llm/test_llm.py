@@ -173,6 +173,28 @@ def test_sentence_ends_of_pages(spark):
     assert units == [(0, long + " end.", 4), (1, "But now it stops.", 22)]
 
 
+def test_sentences_over_pages(spark):
+    texts = {
+        1: "It stood. The old clerk went along the gar-",
+        2: "den wall and on through the open",
+        3: None,
+        4: "gate of the mill. It rained. A sentence that",
+        6: "has lost its page. The",
+        7: "水車小屋は古い。鐘が",
+        8: "鳴った。終わり",
+    }
+    rows = [(n, "b", n, None if t is None else [line(t)]) for n, t in texts.items()]
+    # page 4 scanned twice; without a book there are no neighbours
+    rows += [(14, "b", 4, [line(texts[4])]), (20, None, 1, [line("it has no end")]), (21, None, 2, [line("here. Nor")])]
+    got = sorted((r.record_id, r.sentence, r.line_pos, r.end_char) for r in sentences.sentence_units(pages(spark, rows)).collect())
+    long = "The old clerk went along the gar-den wall and on through the open gate of the mill."
+    want = [(1, "It stood.", 0, 9), (6, "has lost its page.", 0, 18), (6, "The", None, None), (7, "水車小屋は古い。", 0, 8), (8, "鐘が鳴った。", 0, 4), (8, "終わり", None, None), (14, "A sentence that", None, None)]
+    want += [(k, t, 0, e) for k in (4, 14) for t, e in ((long, 17), ("It rained.", 28))] + [(20, "it has no end", None, None), (21, "Nor", None, None), (21, "here.", 0, 5)]
+    assert got == sorted(want, key=lambda x: x[:2])
+    places = sorted((r.record_id, r.line_pos, r.end_char) for r in sentences.sentence_ends(pages(spark, rows)).collect())
+    assert places == sorted((r, x, e) for r, _, x, e in got if x is not None)
+
+
 def test_thai_learns_its_ends(spark):
     rng = random.Random(8)
     nouns = "คลอง สะพาน เครื่องมือ บันทึก หอคอย แผนที่ อาคาร จดหมาย สวนผลไม้ ยุ้งข้าว".split()
