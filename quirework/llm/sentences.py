@@ -10,8 +10,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections import ChainMap, Counter
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..plans.lineage import cut
 from .layout import TEXT, page_lines, page_roles
 
-#: At most so many learnt counts reach the driver, most frequent first.
+#: At most so many learnt counts are sent to all tasks, most frequent first; pages get the rest that they ask for by a join.
 MAX_COUNTS = 200_000
 FLUSH = 200_000
 
@@ -168,7 +168,7 @@ def candidates(s: Stream, script: str) -> list[Candidate]:
 class Model:
     """Counts by (script, what, term)."""
 
-    counts: dict[tuple[str, str, str], int] = field(default_factory=dict)
+    counts: Mapping[tuple[str, str, str], int] = field(default_factory=dict)
 
     def ratio(self, script: str, yes: str, no: str, term: str, least: float = 0.5) -> float:
         """Log odds of a term among the ends against the rest, by each side's share."""
@@ -190,7 +190,8 @@ class Model:
                 return 4.0
             if c.follows == "digit" or c.follows == "lower":
                 return -4.0
-            known = (script, "any4", c.word[-4:]) in self.counts
+            # four letters met only here tell nothing
+            known = self.counts.get((script, "any4", c.word[-4:]), 0) > 1
             before = self.ratio(script, "last4", "any4", c.word[-4:]) if known else self.ratio(script, "last3", "any3", c.word[-3:])
             return before + 0.7 * self.ratio(script, "first", "next", c.after) - (0.6 if c.signs == "\n" else 0.0)
         if c.follows in ("lower", "comma") or c.tag_follows:
@@ -219,6 +220,15 @@ class Model:
         return base + {"upper": 2.5, "open": 2.5, "other": 2.5, "end": 2.0, "sign": 0.0}.get(c.follows, 0.0)
 
 
+def asked(c: Candidate, script: str) -> list[tuple[str, str, str]]:
+    """The counts that Model.score may look up for a candidate, besides the totals."""
+    if script == "th":
+        terms = [("any4", c.word[-4:]), ("last4", c.word[-4:]), ("any3", c.word[-3:]), ("last3", c.word[-3:]), ("first", c.after), ("next", c.after)]
+    else:
+        terms = [(k, c.word) for k in ("stop", "inner", "final", "word")] + [(k, c.after) for k in ("small", "opens", "word")]
+    return [(script, k, t) for k, t in terms if t]
+
+
 #: Letters that a sentence has at least; a shorter step between two ends costs SHORT.
 LEAST_LETTERS = {"th": 24}
 SHORT = 3.0
@@ -325,8 +335,8 @@ def _streams(batch: pa.RecordBatch) -> Iterator[tuple[int, Stream, str]]:
         yield row, Stream(*parts, set(ends)), script
 
 
-def learn(running: DataFrame) -> Model:
-    """The model from the running text of all pages. Tasks count before the shuffle."""
+def learn(running: DataFrame) -> tuple[Model, DataFrame | None]:
+    """The model from the running text of all pages, with at most MAX_COUNTS counts, and a table (s, k, t, n) of all others, if there are any. Tasks count before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -344,9 +354,29 @@ def learn(running: DataFrame) -> Model:
                     yield out()
         yield out()
 
-    table = running.mapInArrow(count, "s string, k string, t string, n bigint").groupBy("s", "k", "t").agg(F.sum("n").alias("n")).where("n > 1 or t = ''")
-    rows = table.orderBy(F.desc(F.col("t") == ""), F.desc("n"), "s", "k", "t").limit(MAX_COUNTS).collect()
-    return Model({(r.s, r.k, r.t): r.n for r in rows})
+    table = cut(running.mapInArrow(count, "s string, k string, t string, n bigint").groupBy("s", "k", "t").agg(F.sum("n").alias("n")))
+    rows = table.orderBy(F.desc(F.col("t") == ""), F.desc("n"), "s", "k", "t").limit(MAX_COUNTS + 1).collect()
+    if len(rows) <= MAX_COUNTS:
+        return Model({(r.s, r.k, r.t): r.n for r in rows}), None
+    least = rows[-1].n
+    return Model({(r.s, r.k, r.t): r.n for r in rows if r.n > least or r.t == ""}), table.where((F.col("n") <= least) & (F.col("t") != ""))
+
+
+def with_counts(running: DataFrame, model: Model, others: DataFrame | None) -> DataFrame:
+    """running with more: the counts of `others` that the candidates of each row ask for and the model lacks."""
+    more = "array<struct<s:string,k:string,t:string,n:bigint>>"
+    if others is None:
+        return running.withColumn("more", F.lit(None).cast(more))
+    sent = running.sparkSession.sparkContext.broadcast(model)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = b.column(b.schema.get_field_index("row")).to_pylist()
+            out = [(rows[row], *key) for row, s, script in _streams(b) for key in {x for c in candidates(s, script) for x in asked(c, script)} if key not in sent.value.counts]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate((pa.int64(), pa.string(), pa.string(), pa.string()))], names=["row", "s", "k", "t"])
+
+    met = running.mapInArrow(ask, "row bigint, s string, k string, t string").join(others, ["s", "k", "t"])
+    return running.join(met.groupBy("row").agg(F.collect_list(F.struct("s", "k", "t", "n")).alias("more")), "row", "left").select(*running.columns, "more")
 
 
 def _page_units(pages: DataFrame) -> DataFrame:
@@ -356,13 +386,17 @@ def _page_units(pages: DataFrame) -> DataFrame:
     """
     running = cut(streams(page_lines(pages)).withColumn("row", F.monotonically_increasing_id()))
     kinds = ", ".join(f"{n} {running.schema[n].dataType.simpleString()}" for n in ("record_id", "book_id", "page_num"))
-    sent = running.sparkSession.sparkContext.broadcast(learn(running))
+    model, others = learn(running)
+    running = with_counts(running, model, others)
+    sent = running.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows, numbers, lines, ends, texts, firsts = [], [], [], [], [], []
+            more = b.column(b.schema.get_field_index("more")).to_pylist()
             for row, s, script in _streams(b):
-                found = decode(s, script, sent.value)
+                own = Model(ChainMap({(x["s"], x["k"], x["t"]): x["n"] for x in more[row]}, sent.value.counts)) if more[row] else sent.value
+                found = decode(s, script, own)
                 begin, first = 0, True
                 for n, end in enumerate([*found, None]):
                     text = s.text[begin:end].strip()

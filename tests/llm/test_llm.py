@@ -173,6 +173,20 @@ def test_sentence_ends_of_pages(spark):
     assert units == [(0, long + " end.", 4), (1, "But now it stops.", 22)]
 
 
+def test_counts_beyond_the_sent_ones(spark, monkeypatch):
+    """Rare abbreviations keep their counts however few are sent."""
+    rows = [(i, f"b{i}", 1, [line("it was then that the clerk saw the Xr. wet and the Xr. cold, and the pond too.")]) for i in range(30)]
+    rows += [(100, "c", 1, [line("it was then that the clerk came and the Xr. Miller stood there. It rained.")])]
+    df = pages(spark, rows)
+    got = {}
+    for most in (200_000, 10):
+        monkeypatch.setattr(sentences, "MAX_COUNTS", most)
+        got[most] = sorted(tuple(r) for r in sentences.sentence_ends(df).collect())
+    text = rows[-1][3][0]["text"]
+    assert got[10] == got[200_000]
+    assert [e for r, _, e in got[10] if r == 100] == [text.index("there.") + 6, len(text)]
+
+
 def test_sentences_over_pages(spark):
     texts = {
         1: "It stood. The old clerk went along the gar-",
