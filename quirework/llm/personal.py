@@ -115,7 +115,7 @@ _ADDRESSES = {
         re.compile(r",\s\d{5}\s"),
         re.compile(rf"(?<!\w)(?:Am|Im|An de[rnm]|Auf de[rnm]|In de[rnm]|Zum|Zur|Unter de[rnm]|Hinter de[rnm]|Vor de[rnm])\s(?:[A-ZÄÖÜ]\w+\s){{1,2}}\d{{1,4}}(?:\s?[a-z](?!\w))?,\s\d{{5}}\s{_PLACE}"),
     ),
-    "fr": (re.compile(r"\d,?\s(?:bis|ter|rue|impasse|avenue|quai|place|chemin|boulevard|allée)"), re.compile(rf"(?<!\w)\d{{1,4}}(?:\s(?:bis|ter))?,?\s(?:rue|impasse|avenue|av\.|quai|place|chemin|boulevard|bd|allée)\s(?:de\sla\s|de\sl['’]|d['’]|des\s|du\s|de\s)?{_PLACE}{_TOWNED}")),
+    "fr": (re.compile(r"\d,?\s(?:bis|ter|rue|impasse|avenue|av\.|quai|place|chemin|boulevard|bd|allée)"), re.compile(rf"(?<!\w)\d{{1,4}}(?:\s(?:bis|ter))?,?\s(?:rue|impasse|avenue|av\.|quai|place|chemin|boulevard|bd|allée)\s(?:de\sla\s|de\sl['’]|d['’]|des\s|du\s|de\s)?{_PLACE}{_TOWNED}")),
     "es": (re.compile(r"Calle|C/|Plaza|Avda|Avenida|Paseo|Camino"), re.compile(rf"(?<!\w)(?:Calle|C/|Plaza|Avda\.?|Avenida|Paseo|Camino)\s(?:del?\s)?(?:la\s|los\s|las\s)?{_PLACE}(?:\s{_PLACE})?,\s\d{{1,4}}(?:,\s\d{{1,2}}\.?[ºª]\s?\w?(?!\w))?{_TOWNED}")),
     "ru": (re.compile(r"ул\."), re.compile(rf"ул\.\s[А-ЯЁ]\w+(?:,)?\sд\.\s\d{{1,4}}\w?(?:,\sкв\.\s\d{{1,4}})?(?:,\s(?:\d{{5,6}}\s)?(?:г\.\s)?{_PLACE}(?=\s*(?:\n|\Z)))?")),
 }

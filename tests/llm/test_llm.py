@@ -441,6 +441,20 @@ def test_personal_information(spark):
     assert personal.places(df.limit(0), names).count() == 0
 
 
+def test_address_cues_match_what_their_patterns_match():
+    fr = [f"{n} {street} {of}Verneuil" for n in ("12", "3,", "7 bis", "7 ter,") for street in "rue impasse avenue av. quai place chemin boulevard bd allée".split() for of in ("", "de la ", "du ")]
+    de = [f"Garten{x} 12" for x in "str. straße strasse weg gasse platz allee ufer damm".split()]
+    before = [f"{x} Alten Markt 3, 20095 Hamburg" for x in ("Am", "Im", "An der", "Auf dem", "In den", "Zum", "Zur", "Unter der", "Hinter dem", "Vor dem")]
+    es = [f"{x} del Olmo, 12" for x in "Calle C/ Plaza Avda Avda. Avenida Paseo Camino".split()]
+    for kind, texts in {"fr": fr, "de": de, "de, with a preposition": before, "es": es, "ru": ["ул. Садовая, д. 5"]}.items():
+        cue, pattern = personal._ADDRESSES[kind]
+        for t in texts:
+            assert pattern.search(t) and cue.search(t), t
+    terms = personal.Terms({}, frozenset(), frozenset())
+    for t in ("12 av. de Verneuil", "3, bd Verneuil"):
+        assert personal.find(f"Écrire au {t}.", terms) == [(10, 10 + len(t), "ADDRESS")]
+
+
 def test_nothing_outside_imports_this():
     from pathlib import Path
 
