@@ -1,19 +1,22 @@
 """Personal information in free text: places, kinds, and the text with typed placeholders instead.
 
 Numbers, addresses and mail boxes are found by their notations. Names are found by what the corpus tells about its terms: pairs of neighbouring
-capitalised words are counted over all documents; how many bits a beginning or an ending of a word reveals about its standing beside a known given name
-gives every word a disclosure score, and words that mostly stand beside such surnames are given names themselves, also if no list has them. A
-place is a name when the terms in it disclose more than a threshold.
+capitalised words are counted over all documents; how many bits the beginnings and endings of a word, and each of its own uses, reveal about its standing
+beside a known given name gives every word a disclosure score, and words that mostly stand beside such surnames are given names themselves, also if no
+list has them; this goes on until no given name comes or goes. A place is a name when the terms in it disclose more than a threshold; sanitising also removes
+terms that disclose more than a higher one where they stand alone.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter
-from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+import zlib
+from collections import ChainMap, Counter
+from collections.abc import Container, Iterable, Iterator, Mapping
+from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,17 +25,25 @@ from ..plans.lineage import cut
 
 KINDS = ("NAME", "EMAIL", "PHONE", "ID", "ADDRESS")
 
-#: Bits by which a word's ends must favour a surname.
-SURNAME_BITS = 3.0
-#: The same where nothing else is known yet, to learn given names from.
+#: Bits by which a word must favour a surname: behind an initial, and beside a known given name, which by itself tells much.
+SURNAME_BITS, BESIDE_BITS = 3.0, -1.0
+#: The same for words from which given names are learnt.
 LEARN_BITS = 4.5
+#: Bits by which a word that stands alone discloses a person, so that sanitising removes it too.
+ALONE_BITS = 6.0
+#: Share of a surname's uses that stand beside a given name, and of another word's; what each use of a word tells follows from them. Bound of what all uses together tell.
+SURNAME_USES, OTHER_USES, MOST_BITS = 0.5, 0.01, 12.0
 #: A word is a given name if it stands beside at least so many different surnames, and in at least this share of its uses beside one.
 GIVEN_TIMES = 2
 GIVEN_SHARE = 0.4
+#: Rounds of learning at most; it ends when a round changes no given name.
+ROUNDS = 12
 #: A word is a town if it follows a street at least so often.
 TOWN_TIMES = 2
-#: Bounds of what is sent to all tasks: the most frequent word ends, given names and towns.
-MAX_GRAMS, MAX_TERMS = 50_000, 100_000
+#: Word ends are counted in so many bins, which bounds the model that is sent to all tasks (four bytes each).
+BINS = 1 << 20
+#: At most so many terms (given names, words that the ends misjudge, towns) are sent to all tasks, most frequent first; texts get the rest that they ask for by a join.
+MAX_TERMS = 100_000
 FLUSH = 200_000
 
 # Words that are never part of a name though they stand before one, and particles that are.
@@ -50,6 +61,7 @@ _INITIAL = re.compile(rf"(?<![\w.])[{_UP}]\.(?=\s)")
 _AFTER = re.compile(rf"(?:{_SEP}[{_UP}]\.){{0,2}}(?:{_SEP}{_PARTICLES})?{_SEP}({_CAP})")
 _AFTER_INITIAL = re.compile(rf"[{_UP}]\.(?:{_SEP}?[{_UP}]\.)?(?:{_SEP}{_PARTICLES})?{_SEP}({_CAP})")
 _BEFORE = re.compile(rf"(?:(?<!\w){_PARTICLES}{_SEP})?(?<![\w.@-])({_CAP})(,{_SEP}|{_SEP})\Z")
+_PARTNER = re.compile(rf"(?<![^\W\d_])({_CAP})")
 _MIDDLE = re.compile(rf"(?:{_SEP}[{_UP}]\.(?!\w))?")
 
 # ------------------------------------------------------------------------------------------------ notations
@@ -148,7 +160,7 @@ def _ends(word: str) -> list[str]:
     return out
 
 
-def _counts(texts: Iterable[str | None], given: frozenset[str]) -> Counter:
+def _counts(texts: Iterable[str | None]) -> Counter:
     """(what, a, b) -> times: 'word' a; 'pair' a before b, with what may stand between a given name and a surname; 'turned' b, a; 'town' a."""
     out: Counter = Counter()
     for t in texts:
@@ -172,31 +184,60 @@ def _counts(texts: Iterable[str | None], given: frozenset[str]) -> Counter:
     return out
 
 
+def _bins(word: str) -> list[int]:
+    return [zlib.crc32(e.encode()) % BINS for e in _ends(word)]
+
+
+def _level(bits: float) -> int:
+    """0: no surname, 1: one beside a given name, 2: one behind an initial, 3: disclosing when alone."""
+    return (bits >= BESIDE_BITS) + (bits >= SURNAME_BITS) + (bits >= ALONE_BITS)
+
+
 @dataclass
 class Terms:
-    """What the corpus tells: bits of word ends, given names, towns."""
+    """What the corpus tells: bits of word ends by bin, given names, levels of words whose uses overrule their ends, towns."""
+
+    bits: np.ndarray
+    given: Container[str] = frozenset()
+    own: Mapping[str, int] = field(default_factory=dict)
+    towns: Container[str] = frozenset()
 
-    bits: dict[str, float]
-    given: frozenset[str]
-    towns: frozenset[str]
+    def ends_bits(self, word: str) -> float:
+        """Bits of a word's ends; of a hyphenated word the least of its parts."""
+        parts = [p for p in re.split(r"[-'’]", word) if len(p) > 2]
+        return min((float(sum(self.bits[g] for g in _bins(p))) for p in parts), default=-99.0)
 
-    def surname_bits(self, word: str) -> float:
+    def level(self, word: str) -> int:
         w = word.casefold()
         if w in _TITLES or w in self.given or len(w) < 3:
-            return -9.0
-        parts = [p for p in re.split(r"[-'’]", w) if len(p) > 2]
-        return min((sum(self.bits.get(g, -0.7) for g in _ends(p)) for p in parts), default=-9.0)
+            return 0
+        known = self.own.get(w)
+        return _level(self.ends_bits(w)) if known is None else known
 
-    def surname(self, word: str) -> bool:
-        return self.surname_bits(word) >= SURNAME_BITS
+    def with_more(self, more: list[dict]) -> Terms:
+        """These terms and others, as a row of `with_terms` has them."""
+        if not more:
+            return self
+        given = frozenset(m["t"] for m in more if m["k"] == "given")
+        towns = frozenset(m["t"] for m in more if m["k"] == "town")
+        return Terms(self.bits, _Either(self.given, given), ChainMap({m["t"]: m["v"] for m in more if m["k"] == "word"}, self.own), _Either(self.towns, towns))
 
 
-def learn(docs: DataFrame, given_names: DataFrame, text: str = "text", given: str = "given_name") -> Terms:
-    """Term statistics of all documents. Tasks count before the shuffle; what reaches the driver is bounded by MAX_GRAMS and MAX_TERMS, most frequent first."""
-    rows = given_names.where(F.col(given).isNotNull()).select(F.col(given).cast("string")).distinct().limit(MAX_TERMS + 1).collect()
-    if len(rows) > MAX_TERMS:
-        raise ValueError(f"more than {MAX_TERMS} given names")
-    known = frozenset(r[0].strip().casefold() for r in rows if r[0].strip())
+@dataclass
+class _Either:
+    one: Container[str]
+    other: Container[str]
+
+    def __contains__(self, x: object) -> bool:
+        return x in self.other or x in self.one
+
+
+def learn(docs: DataFrame, given_names: DataFrame, text: str = "text", given: str = "given_name") -> tuple[Terms, DataFrame | None]:
+    """The terms of all documents, with at most MAX_TERMS sent, and a table (k, t, v) of all others, if there are any. Tasks count before the shuffle.
+
+    Each round weighs every word's share of uses beside the given names known so far against its share of uses behind no capitalised word at all, so that surnames beside given
+    names that are not known yet tell neither for nor against; the weights are shares, so that the number of different words does not matter.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -209,62 +250,116 @@ def learn(docs: DataFrame, given_names: DataFrame, text: str = "text", given: st
 
         for b in batches:
             for k in range(0, b.num_rows, 500):
-                seen.update(_counts(b.column(0).slice(k, 500).to_pylist(), known))
+                seen.update(_counts(b.column(0).slice(k, 500).to_pylist()))
                 if len(seen) > FLUSH:
                     yield out()
         yield out()
 
     counts = docs.select(F.col(text).cast("string")).mapInArrow(count, "what string, a string, b string, n bigint").groupBy("what", "a", "b").agg(F.sum("n").alias("n"))
     counts = cut(counts)
-    terms = Terms({}, known, frozenset())
-    # a second round also learns from the names that the first has found
-    for _ in range(2):
-        terms.bits = _word_ends(counts, terms.given)
-        terms.given = known | _given_names(counts, terms)
-    towns = counts.where(f"what = 'town' and n >= {TOWN_TIMES}").orderBy(F.desc("n"), "a").limit(MAX_TERMS).collect()
-    terms.towns = frozenset(r.a for r in towns)
-    return terms
-
-
-def _word_ends(counts: DataFrame, given: frozenset[str]) -> dict[str, float]:
-    """Bits by which each beginning or ending of a word tells that it stands beside a given name; each distinct word votes once."""
-    is_given = F.broadcast(counts.sparkSession.createDataFrame([(g,) for g in sorted(given)] or [("",)], "a string"))
-    beside = counts.where("what in ('pair', 'turned') and length(b) > 2").join(is_given, "a", "left_semi").groupBy("b").agg(F.sum("n").alias("p"))
-    words = counts.where("what = 'word' and length(a) > 2").join(is_given, "a", "left_anti").select(F.col("a").alias("w"), "n")
-    typed = words.join(beside, words.w == beside.b, "left").select("w", "n", F.coalesce("p", F.lit(0)).alias("p"))
-
-    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            g, yes, no = [], [], []
-            for w, n, p in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                for e in set(_ends(w)):
-                    g.append(e)
-                    yes.append(1 if p * 2 >= n or p >= 3 else 0)
-                    no.append(1 if p == 0 else 0)
-            yield pa.RecordBatch.from_pydict({"g": pa.array(g, pa.string()), "yes": pa.array(yes, pa.int64()), "no": pa.array(no, pa.int64())})
-
-    votes = typed.mapInArrow(grams, "g string, yes bigint, no bigint").groupBy("g").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
-    table = votes.where("yes > 0 or no > 1").orderBy(F.desc(F.col("yes") + F.col("no")), "g").limit(MAX_GRAMS).collect()
-    total = votes.agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")).first()
-    all_yes, all_no = (total.yes or 0) + 1, (total.no or 0) + 1
-    return {r.g: math.log2((r.yes + 0.3) / all_yes) - math.log2((r.no + 0.3) / all_no) for r in table}
-
-
-def _given_names(counts: DataFrame, terms: Terms) -> frozenset[str]:
-    """Words that mostly stand beside words whose ends disclose a surname."""
-    sent = counts.sparkSession.sparkContext.broadcast(terms)
-
-    def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
+    pairs = cut(counts.where("what in ('pair', 'turned') and length(b) > 2").groupBy("a", "b").agg(F.sum("n").alias("n")))
+    behind = pairs.groupBy("b").agg(F.sum("n").alias("behind"))
+    words = counts.where("what = 'word' and length(a) > 2").where(~F.col("a").isin(*sorted(_TITLES))).select(F.col("a").alias("w"), "n")
+    words = cut(words.join(behind, F.col("w") == F.col("b"), "left").select("w", "n", F.coalesce("behind", F.lit(0)).alias("behind")))
+
+    def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = [model.surname_bits(w) >= LEARN_BITS for w in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2)], names=["a", "n"]).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([pa.array([(x or "").strip().casefold() for x in b.column(0).to_pylist()], pa.string())], names=["a"])
+
+    names = listed = cut(given_names.select(F.col(given).cast("string")).mapInArrow(folded, "a string").where("a <> ''").distinct())
+    for _ in range(ROUNDS):
+        bits, scored = _scored(words, pairs, names)
+        learnt = cut(listed.union(_given_names(words, pairs, scored)).distinct())
+        moved = learnt.join(names, "a", "left_anti").select("a").union(names.join(learnt, "a", "left_anti").select("a")).limit(1).count()
+        if not moved:
+            break
+        names = learnt
+    else:
+        bits, scored = _scored(words, pairs, names)
+    uses = names.join(words, F.col("a") == F.col("w"), "left").select(F.lit("given").alias("k"), F.col("a").alias("t"), F.lit(1).alias("v"), F.coalesce("n", F.lit(0)).alias("n"))
+    own = scored.where("level <> ends_level").select(F.lit("word").alias("k"), F.col("w").alias("t"), F.col("level").alias("v"), "n")
+    towns = counts.where(f"what = 'town' and n >= {TOWN_TIMES}").select(F.lit("town").alias("k"), F.col("a").alias("t"), F.lit(1).alias("v"), "n")
+    table = cut(uses.unionByName(own).unionByName(towns))
+    rows = table.orderBy(F.desc("n"), "k", "t").limit(MAX_TERMS + 1).collect()
+    others = None
+    if len(rows) > MAX_TERMS:
+        least = rows[-1].n
+        others, rows = table.where(F.col("n") <= least).select("k", "t", "v"), [r for r in rows if r.n > least]
+    of = lambda k: frozenset(r.t for r in rows if r.k == k)
+    return Terms(bits, of("given"), {r.t: r.v for r in rows if r.k == "word"}, of("town")), others
 
-    with_surname = counts.where("what in ('pair', 'turned')").select("a", "b", "n").mapInArrow(partners, "a string, n bigint").groupBy("a").agg(F.sum("n").alias("p"), F.count("*").alias("partners"))
-    uses = counts.where("what = 'word'").select("a", F.col("n").alias("uses"))
-    learnt = with_surname.join(uses, "a").where((F.col("partners") >= GIVEN_TIMES) & (F.col("p") >= GIVEN_SHARE * F.col("uses")))
-    found = learnt.orderBy(F.desc("p"), "a").limit(MAX_TERMS).collect()
-    return frozenset(r.a for r in found if r.a not in _TITLES and not terms.surname(r.a))
+
+def _scored(words: DataFrame, pairs: DataFrame, names: DataFrame) -> tuple[np.ndarray, DataFrame]:
+    """The bits of word ends by bin, and (w, n, bits, ends_level, level) of all words that are no given names."""
+    beside = pairs.join(names, "a", "left_semi").groupBy("b").agg(F.sum("n").alias("p"))
+    typed = words.join(names, F.col("w") == F.col("a"), "left_anti").join(beside, F.col("w") == F.col("b"), "left")
+    typed = cut(typed.select("w", "n", "behind", F.least("n", F.coalesce("p", F.lit(0))).alias("p")))
+
+    def ballots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # shares are counted in thousandths: whole numbers add up alike in any order
+        yes, no = Counter(), Counter()
+        for b in batches:
+            for w, n, behind, p in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                for g in set(_bins(w)):
+                    yes[g] += 1000 * p // n
+                    no[g] += 1000 * max(0, n - behind) // n
+        keys = list(yes)
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array([yes[k] for k in keys], pa.int64()), pa.array([no[k] for k in keys], pa.int64())], names=["g", "yes", "no"])
+
+    votes = typed.mapInArrow(ballots, "g int, yes bigint, no bigint").groupBy("g").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")).toArrow()
+    at = votes.column("g").to_numpy()
+    yes, no = np.zeros(BINS), np.zeros(BINS)
+    yes[at], no[at] = votes.column("yes").to_numpy() / 1000, votes.column("no").to_numpy() / 1000
+    bits = (np.log2((yes + 0.3) / (yes.sum() + 1)) - np.log2((no + 0.3) / (no.sum() + 1))).astype(np.float32)
+    sent = typed.sparkSession.sparkContext.broadcast(bits)
+    for_use, against = math.log2(SURNAME_USES / OTHER_USES), math.log2((1 - SURNAME_USES) / (1 - OTHER_USES))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = Terms(sent.value)
+        for b in batches:
+            ws, ns, _, ps = (c.to_pylist() for c in b.columns)
+            ends = [terms.ends_bits(w) for w in ws]
+            total = [e + max(-MOST_BITS, min(MOST_BITS, p * for_use + (n - p) * against)) for e, n, p in zip(ends, ns, ps, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(total, pa.float64()), pa.array([_level(x) for x in ends], pa.int32()), pa.array([_level(x) for x in total], pa.int32())],
+                names=["w", "n", "bits", "ends_level", "level"],
+            )
+
+    return bits, typed.mapInArrow(score, "w string, n bigint, bits double, ends_level int, level int")
+
+
+def _given_names(words: DataFrame, pairs: DataFrame, scored: DataFrame) -> DataFrame:
+    """(a): words that mostly stand beside different words that disclose a surname, and disclose none themselves."""
+    surnames = scored.where(F.col("bits") >= LEARN_BITS).select(F.col("w").alias("b"))
+    beside = pairs.join(surnames, "b", "left_semi").groupBy("a").agg(F.sum("n").alias("p"), F.count("*").alias("partners"))
+    found = beside.join(words.select(F.col("w").alias("a"), F.col("n").alias("uses")), "a").where((F.col("partners") >= GIVEN_TIMES) & (F.col("p") >= GIVEN_SHARE * F.col("uses")))
+    return found.join(scored.where("level >= 2").select(F.col("w").alias("a")), "a", "left_anti").select("a")
+
+
+def with_terms(docs: DataFrame, key: str, text: str, terms: Terms, others: DataFrame | None) -> DataFrame:
+    """(key, text, more) of docs, where more holds those of `others` that stand in the text."""
+    docs = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    more = "array<struct<k:string,t:string,v:int>>"
+    if others is None:
+        return docs.withColumn("more", F.lit(None).cast(more))
+    docs = cut(docs.withColumn("row", F.monotonically_increasing_id()))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, ks, ts = [], [], []
+            for row, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                ws = {m[0].casefold() for m in _TOKEN.finditer(t)} if t else set()
+                # a capitalised word behind another may be more than a token
+                ws |= {m[1].casefold() for m in _PARTNER.finditer(t)} if t else set()
+                towns = set(_names_of_towns(t)) if ws else set()
+                for k, asked in (("given", ws), ("word", ws), ("town", towns)):
+                    rows += [row] * len(asked)
+                    ks += [k] * len(asked)
+                    ts += asked
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(ks, pa.string()), pa.array(ts, pa.string())], names=["row", "k", "t"])
+
+    met = docs.select("row", "text").mapInArrow(ask, "row bigint, k string, t string").join(others, ["k", "t"])
+    return docs.join(met.groupBy("row").agg(F.collect_list(F.struct("k", "t", "v")).alias("more")), "row", "left").select("key", "text", "more")
 
 
 # ----------------------------------------------------------------------------------------------------- places
@@ -324,7 +419,7 @@ def _names(t: str, terms: Terms) -> list[tuple[int, int, str]]:
             continue
         initial = m[0].endswith(".")
         after = (_AFTER_INITIAL.match(t, m.start()) if initial else _AFTER.match(t, m.end()))
-        if after and after[1][0].isupper() and terms.surname(after[1]):
+        if after and after[1][0].isupper() and terms.level(after[1]) >= (2 if initial else 1):
             last = after.end()
             out.append((m.start(), last, "NAME"))
             continue
@@ -332,7 +427,7 @@ def _names(t: str, terms: Terms) -> list[tuple[int, int, str]]:
             continue
         low = max(last, m.start() - 60)
         before = _BEFORE.search(t, low, m.start())
-        if before and before[1][0].isupper() and terms.surname(before[1]):
+        if before and before[1][0].isupper() and terms.level(before[1]) >= 1:
             last = m.end()
             if before[2][0] == ",":
                 last = _MIDDLE.match(t, m.end()).end()
@@ -340,25 +435,38 @@ def _names(t: str, terms: Terms) -> list[tuple[int, int, str]]:
     return out
 
 
-def find_personal(docs: DataFrame, terms: Terms, key: str = "doc_id", text: str = "text", keep_text: bool = False) -> DataFrame:
+def _alone(t: str, found: list[tuple[int, int, str]], terms: Terms) -> list[tuple[int, int, str]]:
+    """Words outside the places found that disclose a person by themselves: given names, and words whose bits exceed ALONE_BITS."""
+    out, k = [], 0
+    for m in _TOKEN.finditer(t):
+        while k < len(found) and found[k][1] <= m.start():
+            k += 1
+        if (k == len(found) or m.end() <= found[k][0]) and (m[0].casefold() in terms.given or terms.level(m[0]) >= 3):
+            out.append((m.start(), m.end(), "NAME"))
+    return out
+
+
+def find_personal(docs: DataFrame, learnt: tuple[Terms, DataFrame | None], key: str = "doc_id", text: str = "text", keep_text: bool = False) -> DataFrame:
     """(key, places, text with placeholders if keep_text): one row per document; places is an array of (start_char, end_char, kind).
 
+    In the text placeholders also stand for words that disclose a person by themselves, as a surname without its given name; they are no places.
     Characters are code points, counted from 0. Null and empty texts have no places and stay as they are; repeated rows give repeated rows; other columns are dropped.
     """
+    terms, others = learnt
     sent = docs.sparkSession.sparkContext.broadcast(terms)
     kind = docs.schema[key].dataType.simpleString()
     place = pa.list_(pa.struct([("start_char", pa.int32()), ("end_char", pa.int32()), ("kind", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
         for b in batches:
             places, clean = [], []
-            for t in b.column(1).to_pylist():
+            for t, more in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                model = sent.value.with_more(more)
                 found = find(t, model) if t else []
                 places.append([{"start_char": s, "end_char": e, "kind": k} for s, e, k in found])
                 if keep_text:
                     parts, at = [], 0
-                    for s, e, k in found:
+                    for s, e, k in sorted(found + _alone(t, found, model)) if t else []:
                         parts += [t[at:s], f"[{k}]"]
                         at = e
                     clean.append("".join([*parts, t[at:]]) if t is not None else None)
@@ -366,7 +474,7 @@ def find_personal(docs: DataFrame, terms: Terms, key: str = "doc_id", text: str
             yield pa.RecordBatch.from_arrays(columns, names=["key", "places", "text"][: len(columns)])
 
     schema = f"key {kind}, places array<struct<start_char:int,end_char:int,kind:string>>" + (", text string" if keep_text else "")
-    return docs.select(F.col(key), F.col(text).cast("string")).mapInArrow(run, schema).withColumnRenamed("key", key)
+    return with_terms(docs, key, text, terms, others).mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
 def places(docs: DataFrame, given_names: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -376,5 +484,5 @@ def places(docs: DataFrame, given_names: DataFrame, key: str = "doc_id", text: s
 
 
 def sanitised(docs: DataFrame, given_names: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, text): each text with [NAME], [EMAIL], [PHONE], [ID] or [ADDRESS] in place of personal information."""
+    """(key, text): each text with [NAME], [EMAIL], [PHONE], [ID] or [ADDRESS] in place of personal information and of terms that disclose a person."""
     return find_personal(docs, learn(docs, given_names, text), key, text, keep_text=True).select(key, "text")

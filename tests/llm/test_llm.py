@@ -423,9 +423,10 @@ def test_personal_information(spark):
     rows += [(910 + i, f"To the desk, {n} Weir Lane, Saltenby") for i, n in enumerate((3, 14))]
     df = spark.createDataFrame([(*r, "k") for r in rows], "doc_id bigint, text string, kind string")
     names = spark.createDataFrame([("Imke",), ("Tamsel",), ("Ulric",), (None,)], "given_name string")
-    terms = personal.learn(df, names)
-    assert {"bertrin", "pascoe"} <= terms.given and not {"vellamport", "dear", "january"} & terms.given and "Saltenby" in terms.towns
-    found = {r.doc_id: [(odd_text[p.start_char : p.end_char], p.kind) for p in r.places] for r in personal.find_personal(df, terms).collect() for odd_text in [dict(rows)[r.doc_id] or ""]}
+    learnt = personal.learn(df, names)
+    terms, others = learnt
+    assert {"bertrin", "pascoe"} <= terms.given and not {"vellamport", "dear", "january"} & terms.given and "Saltenby" in terms.towns and others is None
+    found = {r.doc_id: [(odd_text[p.start_char : p.end_char], p.kind) for p in r.places] for r in personal.find_personal(df, learnt).collect() for odd_text in [dict(rows)[r.doc_id] or ""]}
     assert found[900] == [
         ("+1 555 555 0173 ext. 577", "PHONE"),
         ("XX00 5126\n7904 0042", "ID"),
@@ -441,6 +442,47 @@ def test_personal_information(spark):
     assert personal.places(df.limit(0), names).count() == 0
 
 
+def test_terms_beyond_the_bound_are_joined(spark, monkeypatch):
+    df = spark.createDataFrame([*documents(spark), (900, "3 Weir Lane, Saltenby"), (901, "14 Weir Lane, Saltenby"), (902, None)], "doc_id bigint, text string")
+    names = spark.createDataFrame([("Imke",), ("Tamsel",), ("Ulric",)], "given_name string")
+    rows = lambda: sorted(map(tuple, personal.places(df, names).collect()))
+    clean = lambda: sorted(map(tuple, personal.sanitised(df, names).collect()), key=str)
+    want, text = rows(), clean()
+    for bound in (0, 3):
+        monkeypatch.setattr(personal, "MAX_TERMS", bound)
+        assert personal.learn(df, names)[1] is not None and rows() == want and clean() == text
+
+
+def test_names_are_learnt_alike_from_ten_times_the_texts(spark):
+    """Surnames are open-ended: more texts bring more of them, and more words that are none."""
+    rng = random.Random(11)
+    first, middle, last = "Brack Mor Ost Pell Fen Yar Wen Cor Hal Gar Dun Sol".split(), "vok wick ler man ston bor rel nek per quist".split(), "ert an is ock ey une ow el er in".split()
+    known, unknown = [f"Ka{x}" for x in "rin sela vit mo lene".split()], [f"Dro{x}" for x in "vic nella mund tta gan".split()]
+    odd = [a + b for a in "Zor Lux Pel Thren Vin Skell".split() for b in "gar nok dra ume bri yon mav".split()]
+    names = spark.createDataFrame([(x,) for x in known], "given_name string")
+    shares = []
+    for n in (400, 4000):
+        rows, true = [], set()
+        for i in range(n):
+            s = rng.choice(first) + rng.choice(middle) + rng.choice(last)
+            g = rng.choice(known + unknown)
+            t = f"Dear {g} {s},\nThe Old Bridge of {rng.choice(odd)} stood near {rng.choice(odd)}{rng.choice('aeiou')}{rng.choice(middle)}. The {rng.choice(odd)} was seen."
+            rows.append((i, t))
+            true.add((i, 5, 6 + len(g) + len(s), "NAME"))
+        got = set(map(tuple, personal.places(spark.createDataFrame(rows, "doc_id bigint, text string"), names).collect()))
+        shares.append(len(got & true) / n)
+        assert len(got - true) <= 0.02 * n
+    assert min(shares) >= 0.95, shares
+
+
+def test_words_that_disclose_a_person_alone(spark):
+    df = spark.createDataFrame([*documents(spark), (900, "The desk of Bertrin is empty, and Brackwick has gone to Vellamport by the Old Road.")], "doc_id bigint, text string")
+    names = spark.createDataFrame([("Imke",), ("Tamsel",), ("Ulric",)], "given_name string")
+    clean = dict(map(tuple, personal.sanitised(df, names).where("doc_id = 900").collect()))
+    assert clean[900] == "The desk of [NAME] is empty, and [NAME] has gone to Vellamport by the Old Road."
+    assert personal.places(df, names).where("doc_id = 900").count() == 0
+
+
 def test_address_cues_match_what_their_patterns_match():
     fr = [f"{n} {street} {of}Verneuil" for n in ("12", "3,", "7 bis", "7 ter,") for street in "rue impasse avenue av. quai place chemin boulevard bd allée".split() for of in ("", "de la ", "du ")]
     de = [f"Garten{x} 12" for x in "str. straße strasse weg gasse platz allee ufer damm".split()]
@@ -450,7 +492,7 @@ def test_address_cues_match_what_their_patterns_match():
         cue, pattern = personal._ADDRESSES[kind]
         for t in texts:
             assert pattern.search(t) and cue.search(t), t
-    terms = personal.Terms({}, frozenset(), frozenset())
+    terms = personal.Terms(personal.np.zeros(personal.BINS))
     for t in ("12 av. de Verneuil", "3, bd Verneuil"):
         assert personal.find(f"Écrire au {t}.", terms) == [(10, 10 + len(t), "ADDRESS")]
 
