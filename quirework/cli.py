@@ -7,17 +7,19 @@ import importlib.util
 import shutil
 import sys
 import traceback
+from collections.abc import Callable, Iterator
 from datetime import UTC, datetime
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import __version__
 from .errors import ConfigError, HighlightDependencyError, MissingPathError, OcrDependencyError, OverwriteError
 from .functions.text import scan_side
-from .operators import export, highlights, lines, notes, page_numbers, quality, spans
+from .operators import export, highlights, lines, notes, page_numbers, quality, render, spans
 from .sinks import files as sink
 from .sinks import png
 from .sources import config as settings
@@ -40,7 +42,7 @@ def parser() -> argparse.ArgumentParser:
     def command(name: str, run) -> argparse.ArgumentParser:
         c = sub.add_parser(name)
         c.add_argument("--book", required=True)
-        c.add_argument("--pipeline", default=None)
+        c.add_argument("--pipeline", default="configs/pipeline.yaml")
         c.add_argument("--dry-run", action="store_true")
         c.add_argument("--overwrite", choices=sink.MODES, default="never")
         c.add_argument("--run-id", default=None)
@@ -131,12 +133,12 @@ def run_ocr(args: argparse.Namespace) -> int:
     pages = images.join(words, "page_num", "left").withColumn("words", F.coalesce("words", empty))
     grouped = lines.grouped_lines(pages.withColumn("key", F.col("page_num")), "key", F.lit(float(ocr["line_y_tolerance_px"]))).select("page_num", "lines")
     pages = pages.join(grouped, "page_num").withColumnRenamed("width", "page_width").withColumnRenamed("height", "page_height")
-    root = str(Path(book.scans_path).resolve())
-    rel = F.regexp_replace("path", f"^{root.replace('.', chr(92) + '.')}/", "")
+    relative = spark.createDataFrame([(n, source.relative(p, book.scans_path)) for n, p in enumerate(paths, 1)], "page_num int, scan_relpath string")
     detection = page_numbers.Detection(args.printed_page_top_band_frac, args.printed_page_min_conf, args.printed_page_roman_min_len, args.printed_page_roman_max, args.printed_page_arabic_switch_min)
-    pages = pages.withColumns({"scan_relpath": rel, "book_id": F.lit(book.book_id)})
+    pages = pages.join(F.broadcast(relative), "page_num").withColumn("book_id", F.lit(book.book_id))
+    debug = args.printed_page_debug and args.printed_page_detect
     if args.printed_page_detect:
-        pages = page_numbers.switched(page_numbers.detected(pages, scan_side(F.col("scan_relpath")), detection), switch_min=detection.arabic_switch_min)
+        pages = page_numbers.switched(page_numbers.detected(pages, scan_side(F.col("scan_relpath")), detection, debug), switch_min=detection.arabic_switch_min)
     else:
         pages = pages.withColumns({"found_page": F.lit(None).cast("int"), "found_text": F.lit(None).cast("string"), "found_kind": F.lit(None).cast("string")})
     record_config = F.struct(
@@ -153,17 +155,21 @@ def run_ocr(args: argparse.Namespace) -> int:
         F.lit(args.printed_page_debug).alias("printed_page_debug"),
     )
     found = [F.col("found_page").alias("printed_page"), F.col("found_text").alias("printed_page_text"), F.col("found_kind").alias("printed_page_kind")]
-    records = pages.select("book_id", "page_num", "scan_relpath", F.lit("tesseract").alias("ocr_engine"), record_config.alias("config"), "words", "lines", *found).persist()
-    text = F.array_join(F.filter(F.transform("lines", lambda x: x["text"]), lambda t: F.trim(t) != ""), "\n")
-    artifact = F.struct("book_id", "page_num", "scan_relpath", text.alias("text"), "words", "lines", "printed_page", "printed_page_text", "printed_page_kind", F.lit(digest).alias("config_hash"))
+    seen = pages.select("book_id", "page_num", "scan_relpath", F.lit("tesseract+pytesseract").alias("ocr_engine"), record_config.alias("config"), "words", "lines", *found, *(["mode", "found_debug"] if debug else [])).persist()
+    records = seen.drop("mode", "found_debug")
+    # what a page's number was found from, and the state after it
+    result = F.struct("printed_page", "printed_page_text", "printed_page_kind")
+    tried = [F.struct("mode", result.alias("result"), F.col("found_debug").alias("candidates")).alias("printed_page_debug")] if debug else []
+    text = render.raw_text(F.col("lines"))
+    artifact = F.struct("book_id", "page_num", "scan_relpath", text.alias("text"), "words", "lines", "printed_page", "printed_page_text", "printed_page_kind", F.lit(digest).alias("config_hash"), *tried)
     try:
-        sink.write_files(records.select(_artifact(run_root, book.book_id, "page_text.json").alias("path"), sink.pretty(artifact).alias("content")), args.overwrite, run_root, args.dry_run)
-        drawn = records.select("page_num", F.transform("words", lambda w: w["bbox"]).alias("first"), F.transform("lines", lambda x: x["bbox"]).alias("second"))
-        _overlays(source.image_frame(spark, paths), drawn, [[0, 0, 220], [220, 120, 0]], "page_overlay.png", run_root, book.book_id, args)
+        sink.write_files(seen.select(_artifact(run_root, book.book_id, "page_text.json").alias("path"), sink.pretty(artifact).alias("content")), args.overwrite, run_root, args.dry_run)
+        shapes = F.concat(F.transform("words", lambda w: _shape(w["bbox"], 0)), F.transform("lines", lambda x: _shape(x["bbox"], 1, x["line_id"])))
+        _overlays(source.image_frame(spark, paths), records.select("page_num", shapes.alias("shapes")), (png.Style((60, 160, 255), 1), png.Style((255, 80, 80), 2)), "page_overlay.png", run_root, book.book_id, args)
         sink.write_corpus(records, target, args.overwrite, args.dry_run)
         print(f"Processed {records.count()} pages into {target}")
     finally:
-        records.unpersist()
+        seen.unpersist()
     return 0
 
 
@@ -180,15 +186,10 @@ def run_highlights(args: argparse.Namespace) -> int:
     rows = found.select(_artifact(run_root, book.book_id, "highlight_candidates.json").alias("path"), sink.pretty(artifact).alias("content"))
     n = len(sink.write_files(rows, args.overwrite, run_root, args.dry_run))
     images = source.image_frame(_spark(), paths)
-    none = F.array().cast("array<array<int>>")
-    _overlays(images, found.select("page_num", F.transform("candidates", lambda c: c["bbox"]).alias("first"), none.alias("second")), [[220, 0, 0], [0, 0, 0]], "highlights_overlay.png", run_root, book.book_id, args)
-
-    @F.udf(T.BinaryType())
-    def mask(height, width, channels, data):
-        return png.encode(highlights.marked_pixels(data, height, width, channels, m)[0].astype("uint8") * 255)
-
-    masks = images.select(_artifact(run_root, book.book_id, "highlight_mask.png").alias("path"), mask("height", "width", "channels", "data").alias("content"))
-    sink.write_files(masks, args.overwrite, run_root, args.dry_run)
+    shapes = F.transform("candidates", lambda c, i: _shape(c["bbox"], 0, F.concat(F.lit("h"), i + 1)))
+    _overlays(images, found.select("page_num", shapes.alias("shapes")), (png.Style((255, 0, 0), 2, 4, 16),), "highlights_overlay.png", run_root, book.book_id, args)
+    mask = lambda row: highlights.marked_pixels(row["data"], row["height"], row["width"], row["channels"], m)[0].astype("uint8") * 255
+    _pictures(images.withColumn("path", _artifact(run_root, book.book_id, "highlight_mask.png")), mask, run_root, args)
     print(f"Processed {n} pages under {run_root}")
     return 0
 
@@ -196,7 +197,7 @@ def run_highlights(args: argparse.Namespace) -> int:
 def _run_root(args: argparse.Namespace, book_id: str, name: str) -> tuple[Path, str]:
     run_id = args.run_id or source.latest_run(args.runs, book_id, name)
     if run_id is None:
-        raise MissingPathError(f"no run with {name} under {args.runs}")
+        raise RuntimeError(f"no run with {name} under {args.runs}; give one with --run-id")
     return Path(args.runs) / run_id, run_id
 
 
@@ -207,7 +208,8 @@ def run_spans(args: argparse.Namespace) -> int:
     pages = _last_wins(source.read_pages(spark, _corpus(args.corpus, book.book_id)))
     scans = source.discover_images(book.scans_path)
     s = conf["spans"]
-    chosen = spans.Selection(args.k_before, args.k_after, float(s["min_overlap_frac"]), int(s["min_x_overlap_px"]), int(s["max_overlap_lines"]))
+    usual = spans.Selection()
+    chosen = spans.Selection(args.k_before, args.k_after, *(type(d)(s.get(k, d)) for k in ("min_overlap_frac", "min_x_overlap_px", "max_overlap_lines") for d in [getattr(usual, k)]))
     candidates = source.read_candidates(spark, run_root, book.book_id, args.max_pages).withColumn("run_id", F.lit(run_id))
     made = spans.page_spans(candidates, pages, chosen)
     number = F.regexp_extract("span_id", r"_s(\d+)$", 1).cast("int")
@@ -220,36 +222,41 @@ def run_spans(args: argparse.Namespace) -> int:
     docs = docs.persist()
     try:
         n = len(sink.write_files(docs.select(_artifact(run_root, book.book_id, "spans.json").alias("path"), sink.pretty(artifact).alias("content")), args.overwrite, run_root, args.dry_run))
-        # spans in green, triggers in red
-        drawn = docs.where("spans is not null").select("page_num", F.transform("spans", lambda s: s["span_bbox"]).alias("first"), F.flatten(F.transform("spans", lambda s: s["trigger_bboxes"])).alias("second"))
-        _overlays(source.image_frame(spark, scans), drawn, [[0, 160, 0], [220, 0, 0]], "spans_overlay.png", run_root, book.book_id, args)
+        # spans in green, their triggers in red
+        shapes = F.flatten(F.transform("spans", lambda s: F.concat(F.array(_shape(s["span_bbox"], 0, s["span_id"])), F.transform(s["trigger_bboxes"], lambda b: _shape(b, 1)))))
+        _overlays(source.image_frame(spark, scans), docs.where("spans is not null").select("page_num", shapes.alias("shapes")), (png.Style((0, 255, 0), 3, 14), png.Style((255, 0, 0), 2)), "spans_overlay.png", run_root, book.book_id, args)
     finally:
         docs.unpersist()
     print(f"Processed {n} pages under {run_root}")
     return 0
 
 
-@F.udf(T.BinaryType())
-def _drawn(height, width, channels, data, first, second, colours):
-    """A scan as PNG with the outlines of two lists of boxes, each in its colour."""
-    pixels = png.rgb(data, height, width, channels)
-    for boxes, colour in zip((first, second), colours, strict=True):
-        pixels = png.boxed(pixels, [b for b in boxes or [] if b and len(b) == 4], tuple(colour))
-    return png.encode(pixels)
+def _shape(box: Column, layer: int, label: Column | None = None) -> Column:
+    return F.struct(box.alias("box"), (F.lit(None).cast("string") if label is None else label).alias("label"), F.lit(layer).alias("layer"))
+
+
+def _pictures(images: DataFrame, made: Callable[[dict], np.ndarray], run_root: Path, args: argparse.Namespace) -> None:
+    """A PNG at `path` of what is made of each row of decoded scans. One picture at a time is in memory besides its Arrow batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                row = {n: c[i].as_py() for n, c in zip(b.schema.names, b.columns, strict=True)}
+                yield pa.RecordBatch.from_pydict({"path": [row["path"]], "content": pa.array([png.encode(made(row))], pa.binary())})
+
+    sink.write_files(images.mapInArrow(run, "path string, content binary"), args.overwrite, run_root, args.dry_run, targets=images)
 
 
-def _overlays(images: DataFrame, boxes: DataFrame, colours: list[list[int]], name: str, run_root: Path, book_id: str, args: argparse.Namespace) -> None:
-    """A drawn scan for each page of boxes (page_num, first, second) whose scan exists."""
-    joined = images.select("page_num", "height", "width", "channels", "data").join(boxes, "page_num")
-    both = F.array(*[F.array(*map(F.lit, c)) for c in colours])
-    rows = joined.select(_artifact(run_root, book_id, name).alias("path"), _drawn("height", "width", "channels", "data", "first", "second", both).alias("content"))
-    sink.write_files(rows, args.overwrite, run_root, args.dry_run)
+def _overlays(images: DataFrame, shapes: DataFrame, styles: tuple[png.Style, ...], name: str, run_root: Path, book_id: str, args: argparse.Namespace) -> None:
+    """A drawn scan for each page of shapes (page_num, shapes) whose scan exists."""
+    joined = images.select("page_num", "height", "width", "channels", "data").join(shapes, "page_num").withColumn("path", _artifact(run_root, book_id, name))
+    _pictures(joined, lambda row: png.drawn(png.rgb(row["data"], row["height"], row["width"], row["channels"]), row["shapes"] or (), styles), run_root, args)
 
 
 def run_notes(args: argparse.Namespace) -> int:
     book, conf, digest = settings.load_book(args.book, args.pipeline)
     run_root, run_id = _run_root(args, book.book_id, "spans.json")
-    vault = Path(args.vault or book.vault_out_path or run_root / "obsidian_staging")
+    vault = Path(args.vault or book.vault_out_path or run_root / "obsidian_staging") / book.book_id
     if args.template and not Path(args.template).exists():
         raise RuntimeError(f"no such template: {args.template}")
     template = Path(args.template).read_text(encoding="utf-8") if args.template else notes.TEMPLATE
@@ -262,7 +269,7 @@ def run_notes(args: argparse.Namespace) -> int:
     try:
         files = rows.select(F.concat(F.lit(f"{vault}/"), "note_name", F.lit(".md")).alias("path"), F.col("note").alias("content"))
         if args.sidecar_json:
-            files = files.unionByName(rows.select(F.concat(F.lit(f"{vault}/"), "note_name", F.lit(".span.json")).alias("path"), notes.sidecar(rows).alias("content")))
+            files = files.unionByName(rows.select(F.concat(F.lit(f"{vault}/"), "note_name", F.lit(".span.json")).alias("path"), sink.indented(notes.sidecar(rows)).alias("content")))
         sink.write_files(files, args.overwrite, run_root, args.dry_run)
         print(f"Emitted {rows.count()} notes to {vault}")
     finally:

@@ -1,5 +1,7 @@
 """Text functions as columns. White space and letters follow Unicode, as in Python."""
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -9,6 +11,11 @@ from pyspark.sql import types as T
 SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once, however often body looks at it: inside lambdas nothing else shares common parts."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     return F.regexp_replace(text, rf"\A{SPACE}+|{SPACE}+\z", "")
 

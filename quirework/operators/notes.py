@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,13 +13,16 @@ from .render import raw_text, rendered
 
 # The keys a note's front matter may have.
 FRONT_KEYS = (
-    "address aliases birthday book_read_today bridge_applicability_scope bridge_applied bridge_broken bridge_conditions bridge_isomorphism bridge_justification bridge_methods "
-    "bridge_preservation bridge_required bridge_uuids canonical_name cash_out creator dislikes dream_location dream_lucidity dream_motif dream_motif_valence email entity_type first_met "
-    "format from_mode from_register hypnagogic_resonance interface iso_broken iso_justification iso_structure layer likes note_status note_type note_version occupation origin phone pillar "
-    "publisher_studio quarantine_reasons racing_thoughts_while_awake ran_script_when_racing ran_script_yesterday reactivity recall_ability register register_mode relationship "
-    "revision_triggers rhetoric_allowed rhetorical_device root speculation_quarantine stop_rule tags temporal_pace tension_type title to_mode to_register transition_attempted unity_level "
-    "uuid vector_direction YAML_schema_version year"
-).split()
+    "address", "aliases", "birthday", "book_read_today", "bridge_applicability_scope", "bridge_applied", "bridge_broken", "bridge_conditions",
+    "bridge_isomorphism", "bridge_justification", "bridge_methods", "bridge_preservation", "bridge_required", "bridge_uuids", "canonical_name",
+    "cash_out", "creator", "dislikes", "dream_location", "dream_lucidity", "dream_motif", "dream_motif_valence", "email", "entity_type", "first_met",
+    "format", "from_mode", "from_register", "hypnagogic_resonance", "interface", "iso_broken", "iso_justification", "iso_structure", "layer", "likes",
+    "note_status", "note_type", "note_version", "occupation", "origin", "phone", "pillar", "publisher_studio", "quarantine_reasons",
+    "racing_thoughts_while_awake", "ran_script_when_racing", "ran_script_yesterday", "reactivity", "recall_ability", "register", "register_mode",
+    "relationship", "revision_triggers", "rhetoric_allowed", "rhetorical_device", "root", "speculation_quarantine", "stop_rule", "tags",
+    "temporal_pace", "tension_type", "title", "to_mode", "to_register", "transition_attempted", "unity_level", "uuid", "vector_direction",
+    "YAML_schema_version", "year",
+)
 
 # Fixed value: the note template.
 TEMPLATE = """---
@@ -98,17 +102,18 @@ def foreign_keys(note: Column) -> Column:
     return F.array_sort(F.array_except(front_keys(note), F.array(*[F.lit(k) for k in FRONT_KEYS])))
 
 
-@F.udf(T.BooleanType())
-def is_yaml_mapping(text: str | None) -> bool:
-    """Whether a text is a YAML mapping. There is no YAML parser in the JVM."""
+@F.pandas_udf(T.BooleanType())
+def is_yaml_mapping(texts: pd.Series) -> pd.Series:
+    """Whether a text is a YAML mapping. There is no YAML parser in the JVM; texts come in Arrow batches."""
     import yaml
 
-    if text is None:
-        return False
-    try:
-        return isinstance(yaml.safe_load(text), dict)
-    except yaml.YAMLError:
-        return False
+    def is_mapping(text: str | None) -> bool:
+        try:
+            return text is not None and isinstance(yaml.safe_load(text), dict)
+        except yaml.YAMLError:
+            return False
+
+    return texts.map(is_mapping).astype(bool)
 
 
 def notes(spans: DataFrame, pages: DataFrame, books: DataFrame, template: str = TEMPLATE, clean: bool = True, thresholds: Thresholds = Thresholds(), uuid: Column | None = None) -> DataFrame:

@@ -71,19 +71,43 @@ def roman(found: Column, d: Detection = Detection()) -> Column:
     return F.filter(found, lambda c: (-c["minus_conf"] >= d.min_conf) & (F.length(roman_letters(c["text"])) >= d.roman_min_len) & F.coalesce(roman_value(c["text"]) <= d.roman_max, F.lit(False)))
 
 
-def detected(pages: DataFrame, side: Column, d: Detection = Detection()) -> DataFrame:
-    """pages with found_page, found_text, found_kind: the best arabic candidate, else the best roman one, else nulls."""
+#: So many of the best candidates are reported.
+REPORTED = 10
+
+
+def _ranked(found: Column) -> Column:
+    """The best candidates in order, without the fields that only rank them."""
+    shown = lambda c: F.struct(c["text"].alias("text"), (-c["minus_conf"]).alias("conf"), c["bbox"].alias("bbox"), c["x"].alias("x_center_norm"), c["y"].alias("y_center_norm"), c["source"].alias("source"), F.when(c["source"] == "line", c["line_id"]).alias("line_id"))
+    return F.coalesce(F.transform(F.slice(F.array_sort(found), 1, REPORTED), shown), F.array().cast(_SHOWN))
+
+
+_SHOWN = "array<struct<text:string,conf:double,bbox:array<int>,x_center_norm:double,y_center_norm:double,source:string,line_id:string>>"
+
+
+def detected(pages: DataFrame, side: Column, d: Detection = Detection(), debug: bool = False) -> DataFrame:
+    """pages with found_page, found_text, found_kind: the best arabic candidate, else the best roman one, else nulls.
+
+    With debug also found_debug: the selected candidate, its kind, and the REPORTED best ones; roman ones only where there is no arabic one.
+    """
     # the side is a column of its own, or every candidate would work it out again
     out = pages.withColumn("__side", side).withColumn("__c", candidates(F.col("words"), F.col("lines"), F.col("page_width"), F.col("page_height"), F.col("__side"), d))
-    out = out.withColumns({"__a": F.array_min(arabic(F.col("__c"), d)), "__r": F.array_min(roman(F.col("__c"), d))})
+    out = out.withColumns({"__as": arabic(F.col("__c"), d), "__rs": roman(F.col("__c"), d)}).withColumns({"__a": F.array_min("__as"), "__r": F.array_min("__rs")})
     a, r = F.col("__a"), F.col("__r")
+    kind = F.when(a.isNotNull(), "arabic").when(r.isNotNull(), "roman")
+    more = {}
+    if debug:
+        none = F.array().cast(_SHOWN)
+        arabics, romans = _ranked(F.col("__as")), F.when(a.isNotNull(), none).otherwise(_ranked(F.col("__rs")))
+        selected = F.try_element_at(F.when(a.isNotNull(), arabics).otherwise(romans), F.lit(1))
+        more = {"found_debug": F.struct(selected.alias("selected"), kind.alias("selected_kind"), arabics.alias("arabic_top_candidates"), romans.alias("roman_top_candidates"))}
     return out.withColumns(
         {
             "found_page": F.when(a.isNotNull(), F.expr("try_cast(__a.text as int)")).otherwise(roman_value(r["text"])),
             "found_text": F.coalesce(a["text"], r["text"]),
-            "found_kind": F.when(a.isNotNull(), "arabic").when(r.isNotNull(), "roman"),
+            "found_kind": kind,
         }
-    ).drop("__side", "__c", "__a", "__r")
+        | more
+    ).drop("__side", "__c", "__as", "__rs", "__a", "__r")
 
 
 def switched(pages: DataFrame, value: str = "found_page", text: str = "found_text", kind: str = "found_kind", switch_min: int = 10) -> DataFrame:

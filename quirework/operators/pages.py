@@ -8,14 +8,23 @@ from pyspark.sql import functions as F
 from ..plans.lineage import cut
 
 
+#: At most so many ids of outdated records are sent to all tasks; more are met in a join.
+MAX_OUTDATED = 1_000_000
+
+
 def latest(pages: DataFrame) -> DataFrame:
     """One record per (book_id, page_num): the last one ingested, of equals the one with the largest record_id.
 
-    Only the ids are shuffled to find the winners; the records meet them by record_id. A null ingested_at counts as the earliest.
+    Most pages have one record, so the outdated ones are found, from ids alone, and left out; the nested records themselves are not shuffled unless very many are outdated.
+    A null ingested_at counts as the earliest; null keys are keys like any other.
     """
-    order = F.struct(F.coalesce("ingested_at", F.lit("0001-01-01").cast("timestamp_ntz")), "record_id")
-    winners = pages.groupBy("book_id", "page_num").agg(F.max_by("record_id", order).alias("record_id")).select("record_id")
-    return pages.join(winners, "record_id", "left_semi")
+    order = F.struct(F.coalesce("ingested_at", F.lit("0001-01-01").cast("timestamp_ntz")).alias("at"), "record_id")
+    ids = pages.select("book_id", "page_num", "record_id", order.alias("o"))
+    several = ids.groupBy(F.col("book_id").alias("b"), F.col("page_num").alias("p")).agg(F.max("o").alias("best"), F.count("*").alias("n")).where("n > 1")
+    same_page = F.col("book_id").eqNullSafe(F.col("b")) & F.col("page_num").eqNullSafe(F.col("p"))
+    outdated = cut(ids.join(several, same_page).where("o.record_id <> best.record_id").select("record_id").distinct())
+    few = outdated.limit(MAX_OUTDATED + 1).count() <= MAX_OUTDATED
+    return pages.join(F.broadcast(outdated) if few else outdated, "record_id", "left_anti")
 
 
 def boxed_lines(lines: Column) -> Column:

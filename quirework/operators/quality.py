@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.text import SPACE, fixed, is_blank, strip
+from ..functions.text import SPACE, fixed, is_blank, let, strip
 
 
 @dataclass(frozen=True)
@@ -39,21 +39,29 @@ def line_text(line: Column) -> Column:
 def metrics(lines: Column) -> Column:
     """struct(char_count, line_count, avg_word_conf, alpha_ratio, garbage_ratio, pipe_ratio) of an array of lines. Null lines take no part."""
     solid = F.filter(F.transform(F.filter(lines, lambda x: x.isNotNull()), lambda x: F.struct(line_text(x).alias("t"), x["words"]["confidence"].alias("c"))), lambda x: x["t"] != "")
-    content = F.array_join(F.transform(solid, lambda x: x["t"]), "\n")
-    sure = F.filter(F.flatten(F.filter(F.transform(solid, lambda x: x["c"]), lambda c: c.isNotNull())), lambda c: c >= 0)
-    count = lambda rx: F.regexp_count(content, F.lit(rx))
-    alnum, letters = count(r"[\p{L}\p{N}]"), count(r"\p{L}")
-    nonspace = F.length(content) - count(SPACE)
-    pipes = count(r"\|")
-    ratio = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
-    return F.struct(
-        F.coalesce(F.length(content), F.lit(0)).cast("bigint").alias("char_count"),
-        F.coalesce(F.size(solid), F.lit(0)).cast("bigint").alias("line_count"),
-        F.when(F.size(sure) > 0, F.aggregate(sure, F.lit(0.0), lambda a, c: a + c) / F.size(sure)).alias("avg_word_conf"),
-        F.coalesce(ratio(letters, alnum), F.lit(0.0)).alias("alpha_ratio"),
-        F.coalesce(ratio(nonspace - alnum, nonspace), F.lit(0.0)).alias("garbage_ratio"),
-        F.coalesce(ratio(pipes, nonspace), F.lit(0.0)).alias("pipe_ratio"),
-    )
+
+    def known(s: Column) -> Column:
+        sure = F.filter(F.flatten(F.filter(F.transform(s, lambda x: x["c"]), lambda c: c.isNotNull())), lambda c: c >= 0)
+        average = let(sure, lambda c: F.when(F.size(c) > 0, F.aggregate(c, F.lit(0.0), lambda a, x: a + x) / F.size(c)))
+        return let(F.array_join(F.transform(s, lambda x: x["t"]), "\n"), lambda content: counted(s, content, average))
+
+    def counted(s: Column, content: Column, average: Column) -> Column:
+        count = lambda rx: F.regexp_count(content, F.lit(rx))
+        counts = F.struct(count(r"\p{L}").alias("letters"), count(r"[\p{L}\p{N}]").alias("alnum"), (F.length(content) - count(SPACE)).alias("solid"), count(r"\|").alias("pipes"))
+        ratio = lambda a, b: F.coalesce(F.when(b > 0, a / b), F.lit(0.0))
+        return let(
+            counts,
+            lambda n: F.struct(
+                F.length(content).cast("bigint").alias("char_count"),
+                F.size(s).cast("bigint").alias("line_count"),
+                average.alias("avg_word_conf"),
+                ratio(n["letters"], n["alnum"]).alias("alpha_ratio"),
+                ratio(n["solid"] - n["alnum"], n["solid"]).alias("garbage_ratio"),
+                ratio(n["pipes"], n["solid"]).alias("pipe_ratio"),
+            ),
+        )
+
+    return let(F.coalesce(solid, F.array().cast("array<struct<t:string,c:array<double>>>")), known)
 
 
 def low_quality(m: Column, t: Thresholds = Thresholds()) -> Column:

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.text import letter_share, one_spaced
+from ..functions.text import let, letter_share, one_spaced
 
 # Patterns and short tokens that noise consists of.
 HYPHEN_TAIL = r"""-\s*[)\]}"'`.:;,_!]*\z"""
 STRONG_END = r"""[.!?]["')\]]*\z"""
 LIST_START = r"\A(?:[0-9]{3,4}\s|[-*•]\s)"
 SMALL_START = r"\A[a-z]"
+#: A line that becomes a list item once another goes on with it.
+LIST_SIGN = r"\A(?:[0-9]{3,4}|[-*•])\z"
 SPEW = ("fi", "fl", "hl", "hh", "th", "th!", "i|", "|i", "l|", "il")
 
 
@@ -38,59 +42,66 @@ def tokens(line: Column) -> Column:
     return F.when(F.size(line["words"]) > 0, words).otherwise(pieces)
 
 
+def bare_tokens(line: Column) -> Column:
+    """A line's tokens without bars and brackets around them."""
+    return F.transform(tokens(line), lambda x: F.struct(F.btrim(one_spaced(x["t"]), F.lit("|\\()")).alias("t"), x["c"].alias("c")))
+
+
 def clean_line(line: Column) -> Column:
     """A line's text without noise; empty if nothing readable is left."""
-    bare = F.transform(tokens(line), lambda x: F.struct(F.btrim(one_spaced(x["t"]), F.lit("|\\()")).alias("t"), x["c"].alias("c")))
-    kept = F.filter(bare, lambda x: ~is_junk(x["t"], x["c"]))
+    kept = F.filter(bare_tokens(line), lambda x: ~is_junk(x["t"], x["c"]))
     text = one_spaced(F.array_join(F.transform(kept, lambda x: x["t"]), " "))
-    return F.when(text.rlike(r"\A\|+\z") | ((F.length(text) == 1) & ~text.rlike(r"\A[\p{L}\p{N}]\z")), "").otherwise(text)
+    return let(text, lambda t: F.when(t.rlike(r"\A\|+\z") | ((F.length(t) == 1) & ~t.rlike(r"\A[\p{L}\p{N}]\z")), "").otherwise(t))
 
 
 def clean_lines(lines: Column) -> Column:
     return F.filter(F.transform(F.filter(lines, lambda x: x.isNotNull()), clean_line), lambda t: t != "")
 
 
-_STATE = "struct<out:array<string>,cur:string>"
+#: Stands between paragraphs while they are built; cleaned lines have no such sign, for it counts as white space.
+_BREAK = "\x1e"
 
 
-def _state(out: Column, cur: Column) -> Column:
-    return F.struct(out.alias("out"), cur.alias("cur")).cast(_STATE)
+def _next(texts: Column, i: Column) -> Column:
+    return F.get(texts, i + 1)
 
 
 def merge_hyphens(texts: Column) -> Column:
-    """Pairs of lines joined where the first ends in a hyphen and the next begins small; what a pair has become is not joined again."""
-    empty = _state(F.array().cast("array<string>"), F.lit(None).cast("string"))
+    """Pairs of lines joined where the first ends in a hyphen and the next begins small; what a pair has become is not joined again.
 
-    def step(s: Column, t: Column) -> Column:
-        joined = one_spaced(F.concat(F.rtrim(F.regexp_replace(s["cur"], HYPHEN_TAIL, "")), t))
-        pair = s["cur"].rlike(HYPHEN_TAIL) & t.rlike(SMALL_START)
-        return (
-            F.when(s["cur"].isNull(), _state(s["out"], t))
-            .when(pair, _state(F.concat(s["out"], F.array(joined)), F.lit(None).cast("string")))
-            .otherwise(_state(F.concat(s["out"], F.array(s["cur"])), t))
-        )
+    Which line begins a pair depends on its neighbours alone; of a row of such lines every other one does, which a replacement from left to right finds.
+    """
+    pairs = lambda v: F.transform(v, lambda t, i: F.when(t.rlike(HYPHEN_TAIL) & _next(v, i).rlike(SMALL_START), "1").otherwise("0"))
+    marks = lambda v: F.split(F.regexp_replace(F.array_join(pairs(v), ""), "1.", "JS"), "")
+    joined = lambda t, after: one_spaced(F.concat(F.rtrim(F.regexp_replace(t, HYPHEN_TAIL, "")), after))
 
-    return F.aggregate(texts, empty, step, lambda s: F.when(s["cur"].isNull(), s["out"]).otherwise(F.concat(s["out"], F.array(s["cur"]))))
+    def lines(v: Column) -> Column:
+        return let(marks(v), lambda m: F.filter(F.transform(v, lambda t, i: F.when(F.get(m, i) == "J", joined(t, _next(v, i))).when(F.get(m, i) != "S", t)), lambda t: t.isNotNull()))
 
+    return let(texts, lines)
 
-def paragraphs(texts: Column) -> Column:
-    """Lines gathered into paragraphs: a line goes on with the paragraph so far unless either looks like a list item, a sentence has ended, or it begins with no small letter."""
-    empty = _state(F.array().cast("array<string>"), F.lit(None).cast("string"))
 
-    def step(s: Column, t: Column) -> Column:
-        goes_on = ~s["cur"].rlike(LIST_START) & ~t.rlike(LIST_START) & ~s["cur"].rlike(STRONG_END) & t.rlike(SMALL_START)
-        return (
-            F.when(s["cur"].isNull(), _state(s["out"], t))
-            .when(goes_on, _state(s["out"], one_spaced(F.concat(s["cur"], F.lit(" "), t))))
-            .otherwise(_state(F.concat(s["out"], F.array(s["cur"])), t))
-        )
+def _in_paragraphs(texts: Column, between: str) -> Column:
+    """Lines as one text, `between` paragraphs: a line goes on with the one before unless either looks like a list item, a sentence has ended, or it begins with no small letter."""
 
-    return F.aggregate(texts, empty, step, lambda s: F.when(s["cur"].isNull(), s["out"]).otherwise(F.concat(s["out"], F.array(s["cur"]))))
+    def lead(v: Column, t: Column, i: Column) -> Column:
+        # a paragraph begins with no small letter, so whether it looks like a list item is told by its first line, or by its first two
+        last = F.get(v, i - 1)
+        listed = last.rlike(LIST_START) | (last.rlike(SMALL_START) & F.coalesce(F.get(v, i - 2).rlike(LIST_SIGN), F.lit(False)))
+        goes_on = t.rlike(SMALL_START) & ~t.rlike(LIST_START) & ~listed & ~last.rlike(STRONG_END)
+        return F.concat(F.when(i == 0, "").when(goes_on, " ").otherwise(between), t)
+
+    return let(texts, lambda v: F.array_join(F.transform(v, lambda t, i: lead(v, t, i)), ""))
+
+
+def paragraphs(texts: Column) -> Column:
+    """Lines, each with single spaces, gathered into paragraphs."""
+    return let(texts, lambda v: F.when(F.size(v) > 0, F.split(_in_paragraphs(v, _BREAK), _BREAK)).otherwise(v))
 
 
 def rendered(lines: Column) -> Column:
     """The readable text of an array of lines: paragraphs divided by blank lines."""
-    return F.coalesce(F.array_join(paragraphs(merge_hyphens(clean_lines(lines))), "\n\n"), F.lit(""))
+    return F.coalesce(_in_paragraphs(merge_hyphens(clean_lines(lines)), "\n\n"), F.lit(""))
 
 
 def raw_text(lines: Column) -> Column:

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import let
 from .pages import boxed_lines
 
 
@@ -39,20 +40,27 @@ def overlap(line: Column, box: Column) -> Column:
     return F.struct(F.when(meet, w * h).otherwise(zero).alias("area"), F.when(meet, w).otherwise(zero).alias("w"), F.when(meet, h).otherwise(zero).alias("h"))
 
 
-def selected_lines(lines: Column, box: Column, s: Selection = Selection()) -> Column:
-    """Positions of the lines a box selects: those it overlaps enough; only the nearest of them if they are too many; the page's nearest line if there is none."""
+def lines_seen(lines: Column, box: Column, s: Selection = Selection()) -> Column:
+    """array<struct<off, i, area, w, h, hit>>: each line's distance from a box, its position, the common rectangle, and whether the overlap is enough."""
     middle = (box[1] + box[3]) / 2.0
 
     def seen(x: Column, i: Column) -> Column:
-        o = overlap(x["bbox"], box)
-        area = F.greatest(F.lit(1), (x["bbox"][2] - x["bbox"][0]) * (x["bbox"][3] - x["bbox"][1]))
-        hit = (o["area"] > 0) & ((o["area"] / area >= s.min_overlap_frac) | ((o["w"] >= s.min_x_overlap_px) & (o["h"] > 0)))
-        return F.struct(F.abs((x["bbox"][1] + x["bbox"][3]) / 2.0 - middle).alias("off"), i.alias("i"), hit.alias("hit"))
+        size = F.greatest(F.lit(1), (x["bbox"][2] - x["bbox"][0]) * (x["bbox"][3] - x["bbox"][1]))
+        off = F.abs((x["bbox"][1] + x["bbox"][3]) / 2.0 - middle)
+        hit = lambda o: (o["area"] > 0) & ((o["area"] / size >= s.min_overlap_frac) | ((o["w"] >= s.min_x_overlap_px) & (o["h"] > 0)))
+        return let(overlap(x["bbox"], box), lambda o: F.struct(off.alias("off"), i.alias("i"), o["area"].alias("area"), o["w"].alias("w"), o["h"].alias("h"), hit(o).alias("hit")))
+
+    return F.transform(lines, seen)
+
 
-    all_lines = F.transform(lines, seen)
-    hits = F.filter(all_lines, lambda x: x["hit"])
+def selected_lines(lines: Column, box: Column, s: Selection = Selection()) -> Column:
+    """Positions of the lines a box selects: those it overlaps enough; only the nearest of them if they are too many; the page's nearest line if there is none."""
     nearest = lambda a: F.array(F.array_min(a)["i"])  # noqa: E731  (least distance, then least position)
-    return F.when(F.size(hits) > s.max_overlap_lines, nearest(hits)).when(F.size(hits) > 0, F.transform(hits, lambda x: x["i"])).otherwise(nearest(all_lines))
+
+    def chosen(seen: Column, hits: Column) -> Column:
+        return F.when(F.size(hits) > s.max_overlap_lines, nearest(hits)).when(F.size(hits) > 0, F.transform(hits, lambda x: x["i"])).otherwise(nearest(seen))
+
+    return let(lines_seen(lines, box, s), lambda seen: let(F.filter(seen, lambda x: x["hit"]), lambda hits: chosen(seen, hits)))
 
 
 def page_spans(candidates: DataFrame, pages: DataFrame, s: Selection = Selection()) -> DataFrame:

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import os
 import shutil
 import tempfile
 from collections.abc import Iterable
 from pathlib import Path
 
+import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..errors import OverwriteError
 
@@ -29,6 +32,12 @@ def guard(path: str | Path, overwrite: str, run_root: str | Path | None = None)
     raise OverwriteError(f"exists: {path}")
 
 
+def tell(path: str | Path) -> None:
+    """What a dry run says of a file it would write."""
+    kind = {".png": "image", ".json": "json", ".jsonl": "jsonl"}.get(Path(path).suffix, "text")
+    print(f"[dry-run] write {kind}: {path}")
+
+
 def corpus_mode(overwrite: str) -> str:
     """Corpora and book exports are replaced only by `always`."""
     return "always" if overwrite == "always" else "never"
@@ -42,12 +51,18 @@ def _replace(path: Path, data: bytes) -> None:
     os.replace(part, path)
 
 
-def write_files(rows: DataFrame, overwrite: str = "never", run_root: str | Path | None = None, dry_run: bool = False) -> list[str]:
-    """Write each (path, content) row to its file in a shared folder; content is string or binary. All targets are checked first; returns the paths."""
-    paths = [r.path for r in rows.select("path").toLocalIterator()]
+def write_files(rows: DataFrame, overwrite: str = "never", run_root: str | Path | None = None, dry_run: bool = False, targets: DataFrame | None = None) -> list[str]:
+    """Write each (path, content) row to its file in a shared folder; content is string or binary. All targets are checked first; returns the paths.
+
+    A dry run checks the targets and tells what would be written. targets: the paths, where those of rows are costly to make.
+    """
+    paths = [r.path for r in (rows if targets is None else targets).select("path").toLocalIterator()]
     for p in paths:
         guard(p, overwrite, run_root)
-    if not dry_run:
+    if dry_run:
+        for p in paths:
+            tell(p)
+    else:
 
         def put(part: Iterable) -> None:
             for r in part:
@@ -57,9 +72,15 @@ def write_files(rows: DataFrame, overwrite: str = "never", run_root: str | Path
     return paths
 
 
+@F.pandas_udf(T.StringType())
+def indented(texts: pd.Series) -> pd.Series:
+    """JSON text laid out with an indent of two; other letters than ASCII stay."""
+    return texts.map(lambda t: None if t is None else json.dumps(json.loads(t), ensure_ascii=False, indent=2))
+
+
 def pretty(value: Column) -> Column:
     """A struct as indented JSON text with nulls kept."""
-    return F.to_json(value, {"pretty": "true", "ignoreNullFields": "false"})
+    return indented(F.to_json(value, {"ignoreNullFields": "false"}))
 
 
 def write_ordered(parts: DataFrame, order: list[str], column: str, path: str | Path, between: str, overwrite: str = "never", dry_run: bool = False, end: str = "\n") -> None:
@@ -70,6 +91,7 @@ def write_ordered(parts: DataFrame, order: list[str], column: str, path: str | P
     target = Path(path)
     guard(target, overwrite)
     if dry_run:
+        tell(target)
         return
     target.parent.mkdir(parents=True, exist_ok=True)
     work = Path(tempfile.mkdtemp(prefix=f".{target.name}.", dir=target.parent))

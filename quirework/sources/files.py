@@ -32,6 +32,12 @@ def discover_images(folder: str | Path) -> list[Path]:
     return sorted(found, key=lambda p: (natural_order(p.name), p.name))
 
 
+def relative(path: Path, root: str | Path) -> str:
+    """A path as seen from a folder; its name alone if it leads out of it."""
+    whole, base = path.resolve(), Path(root).resolve()
+    return whole.relative_to(base).as_posix() if whole.is_relative_to(base) else path.name
+
+
 def first_pages(paths: list[Path], most: int | None) -> list[Path]:
     return paths[:most] if most is not None and most > 0 else paths
 

@@ -1,5 +1,6 @@
 """The commands one after another on drawn scans and a table of word boxes."""
 
+import hashlib
 import json
 
 import numpy as np
@@ -58,11 +59,13 @@ def test_chain(spark, book):
     assert json.loads((book / "runs/r1/book_b1/page_0003/spans.json").read_text())["spans"] == []
     assert (book / "runs/r1/book_b1/page_0001/spans_overlay.png").exists()
     assert run(book, "emit-obsidian") == 0
-    notes = sorted(p.name for p in (book / "runs/r1/obsidian_staging").iterdir())
+    notes = sorted(p.name for p in (book / "runs/r1/obsidian_staging/b1").iterdir())
     assert notes == ["b1_p1_s1.md", "b1_p1_s1.span.json", "b1_p2_s1.md", "b1_p2_s1.span.json"]
-    note = (book / "runs/r1/obsidian_staging/b1_p1_s1.md").read_text()
+    assert '\n  - "literature_review"\n' in (book / "runs/r1/obsidian_staging/b1/b1_p1_s1.md").read_text()
+    assert (book / "runs/r1/obsidian_staging/b1/b1_p1_s1.span.json").read_text().startswith('{\n  "book_id": "b1",\n  "page_num": 1,\n  "span_id": "p1_s1",\n  "line_ids": [\n    "p1_l')
+    note = (book / "runs/r1/obsidian_staging/b1/b1_p1_s1.md").read_text()
     assert 'title: "A Title p1 p1_s1"' in note and "- printed_page: 11 (arabic)" in note
-    assert json.loads((book / "runs/r1/obsidian_staging/b1_p1_s1.span.json").read_text())["printed_page"] == "11"
+    assert json.loads((book / "runs/r1/obsidian_staging/b1/b1_p1_s1.span.json").read_text())["printed_page"] == "11"
     assert run(book, "export-book-text") == 0
     text = (book / "corpus/books/b1/book.txt").read_text()
     assert text.startswith("# Page 1\n11\n\nLine 0 is here.") and "Line 3 has words and more." in text and text.endswith(".\n")
@@ -72,9 +75,65 @@ def test_chain(spark, book):
     assert md.startswith("# A Title\n\n\n\n## Page 11 (scan: p_1.PNG)\n\n11\nLine 0 is here.") and md.endswith("---\n")
 
 
+def test_debug_block_and_dry_run(spark, book, capsys):
+    assert run(book, "ocr", "--run-id", "r2", "--dry-run") == 0
+    said = capsys.readouterr().out
+    assert f"[dry-run] write json: {book}/runs/r2/book_b1/page_0001/page_text.json" in said and f"[dry-run] write image: {book}/runs/r2/book_b1/page_0003/page_overlay.png" in said
+    assert f"[dry-run] write jsonl: {book}/corpus/books/b1/pages.jsonl" in said and not (book / "runs").exists()
+    assert run(book, "ocr", "--run-id", "r2", "--printed-page-debug") == 0
+    page = json.loads((book / "runs/r2/book_b1/page_0002/page_text.json").read_text())
+    tried = page["printed_page_debug"]
+    assert tried["mode"] == "arabic" and tried["result"] == {"printed_page": 22, "printed_page_text": "22", "printed_page_kind": "arabic"}
+    best = tried["candidates"]
+    assert best["selected_kind"] == "arabic" and best["selected"] == best["arabic_top_candidates"][0] and best["roman_top_candidates"] == []
+    assert best["selected"] == {"text": "22", "conf": 95.0, "bbox": [900, 20, 940, 40], "x_center_norm": 0.92, "y_center_norm": 30 / 700, "source": "word", "line_id": None}
+    assert len(best["arabic_top_candidates"]) == 2
+
+
+def test_settings(book):
+    from quirework.errors import ConfigError
+    from quirework.sources import config
+
+    own, settings, digest = config.load_book(book / "book.yaml")
+    assert (own.book_id, own.scans_path, own.tags, own.metadata, own.vault_out_path) == ("b1", str(book / "scans"), ("t",), {"extra": {"k": 1}}, None)
+    assert own.texts == {
+        "title": "A Title", "creator": "", "year": "", "format": "book", "publisher_studio": "", "note_type": "literature_review", "note_status": "inbox", "note_version": "v0.1.3", "YAML_schema_version": "v0.1.2", "register": "public"
+    }
+    material = '{"book": {"book_id": "b1", "extra": {"k": 1}, "scans_path": "scans", "tags": ["t"], "title": "A Title"}, "pipeline": {"emit_obsidian": {"sidecar_json_default": true}, '
+    material += '"highlights": {"hsv_high": [95, 255, 255], "hsv_low": [15, 20, 80], "kernel_size": 5, "min_area": 120}, "ocr": {"language": "eng", "line_y_tolerance_px": 14, "psm": 6}, "spans": {"k_after": 2, "k_before": 2}}}'
+    assert digest == hashlib.sha256(material.encode()).hexdigest()[:16]
+    (book / "p.yaml").write_text("ocr: {psm: 4}\nspans: 3\nqa: {min_alpha_ratio: 0.5}\n")
+    laid = config.load_book(book / "book.yaml", book / "p.yaml")[1]
+    assert laid["ocr"] == {"line_y_tolerance_px": 14, "language": "eng", "psm": 4} and laid["spans"] == 3 and laid["qa"] == {"min_alpha_ratio": 0.5}
+    for text in ("scans_path: s", "book_id: x", "book_id: x\nscans_path: s\ntags: 3", "- a", "a: [", "book_id: ' '\nscans_path: s"):
+        (book / "bad.yaml").write_text(text)
+        with pytest.raises(ConfigError):
+            config.load_book(book / "bad.yaml")
+    (book / "short.yaml").write_text(f"book_id: b9\nscans_path: {book}/scans\nvault_out_path: out/v\n")
+    own, _, digest = config.load_book(book / "short.yaml")
+    assert own.vault_out_path == str(book / "out/v")
+
+
+def test_hash_as_a_column(spark, book):
+    from pyspark.sql import functions as F
+
+    from quirework.sources import config
+
+    (book / "short.yaml").write_text("book_id: b9\nscans_path: s/t\n")
+    row = spark.createDataFrame([("b9", "s/t")], "a string, b string").select(config.hash_of(F.col("a"), F.col("b")).alias("h")).first()
+    assert row.h == config.load_book(book / "short.yaml")[2]
+
+
+def test_scan_paths(tmp_path):
+    (tmp_path / "a+b.c").mkdir()
+    (tmp_path / "a+b.c/p_1.png").write_bytes(b"")
+    (tmp_path / "away.png").write_bytes(b"")
+    assert source.relative(tmp_path / "a+b.c/p_1.png", tmp_path / "a+b.c") == "p_1.png" and source.relative(tmp_path / "away.png", tmp_path / "a+b.c") == "away.png"
+
+
 def test_exit_codes(spark, book):
     assert main(["export-book-text", "--book", str(book / "none.yaml")]) == 3
-    assert main(["make-spans", "--book", str(book / "book.yaml"), "--runs", str(book / "none")]) == 3
+    assert main(["make-spans", "--book", str(book / "book.yaml"), "--runs", str(book / "none")]) == 1
     assert main(["export-book-text", "--book", str(book / "book.yaml"), "--out", str(book / "none")]) == 1
     assert main(["ocr", "--book", str(book / "book.yaml")]) == 5
     (book / "bad.yaml").write_text("book_id: x\nscans_path: s\ntags: 3\n")

@@ -336,3 +336,54 @@ def test_keys_that_are_data_are_refused(spark, monkeypatch):
     df = spark.createDataFrame([(1, json.dumps({f"k{i}": i for i in range(50)}))], "raw_id int, payload string")
     with pytest.raises(ValueError, match="distinct paths"):
         nested.infer_layout(df, "payload", nested.PAGE_FIELDS)
+
+
+def test_joined_lines_and_paragraphs_against_loops(spark):
+    """Joined lines and paragraphs, over random pages of short lines, against loops that carry the state along."""
+    import random
+    import re
+
+    from pyspark.sql import functions as F
+
+    from quirework.operators import render
+
+    rng = random.Random(4)
+    bits = ["the end.", "a so-", "1896", "1896 x", "-", "- item", "small words", "Big words", "end”", 'said "no."', "re-\"", "b-", "12 a", "* x", "zo", "tail-)", "•"]
+    rows = [(i, [rng.choice(bits) for _ in range(rng.randrange(12))]) for i in range(400)]
+
+    def plain(lines):
+        joined, i = [], 0
+        while i < len(lines):
+            if i + 1 < len(lines) and re.search(r"""-\s*[)\]}"'`.:;,_!]*\Z""", lines[i]) and re.match("[a-z]", lines[i + 1]):
+                joined.append(" ".join((re.sub(r"""-\s*[)\]}"'`.:;,_!]*\Z""", "", lines[i]).rstrip() + lines[i + 1]).split()))
+                i += 2
+            else:
+                joined.append(lines[i])
+                i += 1
+        blocks = joined[:1]
+        for t in joined[1:]:
+            item = re.compile(r"(?:[0-9]{3,4}\s|[-*•]\s)")
+            if item.match(blocks[-1]) or item.match(t) or re.search(r"""[.!?]["')\]]*\Z""", blocks[-1]) or not re.match("[a-z]", t):
+                blocks.append(t)
+            else:
+                blocks[-1] += " " + t
+        return joined, blocks
+
+    df = spark.createDataFrame(rows, "id int, lines array<string>")
+    got = df.select("id", render.merge_hyphens(F.col("lines")).alias("joined"), render.paragraphs(render.merge_hyphens(F.col("lines"))).alias("blocks")).collect()
+    for r in got:
+        assert (r.joined, r.blocks) == plain(rows[r.id][1]), rows[r.id]
+
+
+def test_latest_record_of_each_page(spark, monkeypatch):
+    import datetime as dt
+
+    from quirework.operators import pages
+
+    t = dt.datetime(2024, 1, 1)
+    rows = [(1, "b", 1, t), (2, "b", 1, t), (3, "b", 2, None), (4, "b", 2, t), (5, None, 1, None), (6, None, 1, None), (7, "b", None, t), (8, "c", 1, t), (8, "c", 1, t)]
+    df = spark.createDataFrame(rows, "record_id int, book_id string, page_num int, ingested_at timestamp_ntz")
+    for bound in (pages.MAX_OUTDATED, 0):
+        monkeypatch.setattr(pages, "MAX_OUTDATED", bound)
+        assert sorted(r.record_id for r in pages.latest(df).collect()) == [2, 4, 6, 7, 8, 8]
+    assert pages.latest(df.limit(0)).count() == 0
