@@ -98,7 +98,9 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary:
         rows += zip(tier.column(0).to_pylist(), tier.column(1).to_pylist(), strict=True)
         longer = chars
     # ids travel as bytes: a text's ids are then one join of byte strings
-    table = {w: np.array(ids, np.int32).tobytes() for w, ids in rows}
+    small = max((max(ids) for _, ids in rows if ids), default=0) < 1 << 16 and not words.where(F.array_max("ids") >= 1 << 16).limit(1).count()
+    width = np.dtype("<u2" if small else "<i4")
+    table = {w: np.array(ids, width).tobytes() for w, ids in rows}
     all_hot = len(table) == words.count()
     known = docs.sparkSession.sparkContext.broadcast(table)
 
@@ -117,31 +119,41 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary:
                             gaps.append({"at": at, "word": split[i]})
                             parts[i] = b""
                         else:
-                            at += len(p) // 4
+                            at += len(p)
                 buffers.append(b"".join(parts))
                 missing.append(gaps)
-            ends = np.concatenate(([0], np.cumsum([len(x) // 4 for x in buffers]))).astype(np.int32)
-            columns = [b.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(buffers), np.int32)))]
-            if not all_hot:
-                columns.append(pa.array(missing, pa.list_(pa.struct([("at", pa.int32()), ("word", pa.string())]))))
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "ids", "missing"][: len(columns)])
+            if all_hot:
+                yield pa.RecordBatch.from_arrays([b.column(0), _as_ids(buffers, width)], names=["key", "ids"])
+            else:
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(buffers, pa.binary()), pa.array(missing, pa.list_(pa.struct([("at", pa.int32()), ("word", pa.string())])))], names=["key", "packed", "missing"])
 
     kind = docs.schema[key].dataType.simpleString()
     source = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     if all_hot:
         return source.mapInArrow(look_up, f"key {kind}, ids array<int>").select(F.col("key").alias(key), "ids")
 
-    # Words that did not travel: joined by word, then put in where they stand. Equal (key, gaps) rows share one result.
-    schema = f"key {kind}, ids array<int>, missing array<struct<at:int,word:string>>"
-    part = source.mapInArrow(look_up, schema).withColumn("row", F.sha2(F.to_json(F.struct("key", "ids", "missing")), 256))
-    gaps = part.where(F.size("missing") > 0).select("row", "missing").dropDuplicates(["row"]).select("row", F.posexplode("missing").alias("i", "gap"))
-    filled = gaps.join(words.select("word", F.col("ids").alias("more")), F.col("gap.word") == F.col("word"))
-    rows = filled.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("i", F.col("gap.at").alias("at"), "more"))).alias("gaps"))
-    begin = F.transform("gaps", lambda g, i: F.slice("ids", F.when(i == 0, 1).otherwise(F.get("gaps", i - 1)["at"] + 1), g["at"] - F.when(i == 0, 0).otherwise(F.get("gaps", i - 1)["at"])))
-    woven = F.flatten(F.transform(F.arrays_zip(begin.alias("before"), F.col("gaps").alias("gap")), lambda z: F.concat(z["before"], z["gap"]["more"])))
-    rest = F.slice("ids", F.element_at("gaps", -1)["at"] + 1, F.size("ids"))
-    ids = F.when(F.col("gaps").isNull(), F.col("ids")).otherwise(F.concat(woven, rest))
-    return part.join(rows, "row", "left").select(F.col("key").alias(key), ids.alias("ids"))
+    # Words that did not travel are joined by word and put in where they stand. Texts are read through once; what is kept of them until then are their ids in two bytes each.
+    part = cut(source.mapInArrow(look_up, f"key {kind}, packed binary, missing array<struct<at:int,word:string>>").withColumn("row", F.monotonically_increasing_id()))
+    gaps = part.select("row", F.posexplode("missing").alias("i", "gap")).select("row", "i", "gap.at", "gap.word")
+    filled = gaps.join(words.select("word", F.col("ids").alias("more")), "word").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("i", "at", "more"))).alias("gaps"))
+
+    def weave(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            buffers = []
+            for packed, gaps in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                parts, at = [], 0
+                for g in gaps or ():
+                    parts += [packed[at : g["at"]], np.array(g["more"], width).tobytes()]
+                    at = g["at"]
+                buffers.append(b"".join([*parts, packed[at:]]))
+            yield pa.RecordBatch.from_arrays([b.column(0), _as_ids(buffers, width)], names=["key", "ids"])
+
+    return part.join(filled, "row", "left").select("key", "packed", "gaps").mapInArrow(weave, f"key {kind}, ids array<int>").select(F.col("key").alias(key), "ids")
+
+
+def _as_ids(buffers: list[bytes], width: np.dtype) -> pa.ListArray:
+    ends = np.concatenate(([0], np.cumsum([len(x) // width.itemsize for x in buffers]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(buffers), width).astype(np.int32)))
 
 
 def pieces(spark, vocabulary: str = f"{TOKENIZERS}/byte_bpe_50k.tiktoken") -> DataFrame:
