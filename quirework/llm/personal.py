@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.lineage import cut
+from . import lookup
 
 KINDS = ("NAME", "EMAIL", "PHONE", "ID", "ADDRESS")
 
@@ -133,20 +134,26 @@ _ADDRESSES = {
 }
 
 
-def _streets(t: str) -> Iterator[tuple[int, int, str | None, str | None]]:
-    """(start, end of the street, town candidate, separator) of English street addresses."""
+def _streets(t: str) -> Iterator[tuple[int, int]]:
+    """(start, end of the street) of English street addresses."""
     for m in _STREETS.finditer(t):
         lead = _BEFORE_STREET.search(t, max(0, m.start() - 70), m.start())
         if not lead or re.search(r"(?i:\b(?:the|a|an|of|in)\s)", lead[0]) or t[max(0, lead.start() - 4) : lead.start()].endswith(("No. ", "No.\n", "Nr. ")):
             continue
-        yield lead.start(), m.end(), None, None
+        yield lead.start(), m.end()
+
+
+def _behind_streets(t: str) -> Iterator[re.Match]:
+    return (m for _, end in _streets(t) if (m := _AFTER_STREET.match(t, end)))
 
 
 def _names_of_towns(t: str) -> Iterator[str]:
-    for _, end, _, _ in _streets(t):
-        m = _AFTER_STREET.match(t, end)
-        if m and m["town"] and m["sep"][0] == ",":
-            yield m["town"]
+    return (m["town"] for m in _behind_streets(t) if m["town"] and m["sep"][0] == ",")
+
+
+def _narrow(text: str) -> str:
+    """A text with wide digits and signs made narrow, one for one."""
+    return text if text.isascii() or not _WIDE_SIGNS.search(text) else text.translate(_WIDE)
 
 
 # ---------------------------------------------------------------------------------------------------- terms
@@ -280,11 +287,7 @@ def learn(docs: DataFrame, given_names: DataFrame, text: str = "text", given: st
     own = scored.where("level <> ends_level").select(F.lit("word").alias("k"), F.col("w").alias("t"), F.col("level").alias("v"), "n")
     towns = counts.where(f"what = 'town' and n >= {TOWN_TIMES}").select(F.lit("town").alias("k"), F.col("a").alias("t"), F.lit(1).alias("v"), "n")
     table = cut(uses.unionByName(own).unionByName(towns))
-    rows = table.orderBy(F.desc("n"), "k", "t").limit(MAX_TERMS + 1).collect()
-    others = None
-    if len(rows) > MAX_TERMS:
-        least = rows[-1].n
-        others, rows = table.where(F.col("n") <= least).select("k", "t", "v"), [r for r in rows if r.n > least]
+    rows, others = lookup.divided(table, MAX_TERMS)
     of = lambda k: frozenset(r.t for r in rows if r.k == k)
     return Terms(bits, of("given"), {r.t: r.v for r in rows if r.k == "word"}, of("town")), others
 
@@ -336,37 +339,29 @@ def _given_names(words: DataFrame, pairs: DataFrame, scored: DataFrame) -> DataF
     return found.join(scored.where("level >= 2").select(F.col("w").alias("a")), "a", "left_anti").select("a")
 
 
-def with_terms(docs: DataFrame, key: str, text: str, terms: Terms, others: DataFrame | None) -> DataFrame:
+def _asked(batch: pa.RecordBatch) -> Iterator[list[tuple[str, str]]]:
+    """The terms that `find` may look up for a text."""
+    for text in batch.column(1).to_pylist():
+        t = _narrow(text) if text else None
+        words = {m[0].casefold() for m in _TOKEN.finditer(t)} if t else set()
+        # a capitalised word behind another may be more than a token
+        words |= {m[1].casefold() for m in _PARTNER.finditer(t)} if t else set()
+        yield [(k, w) for w in words for k in ("given", "word")] + [("town", m["town"]) for m in (_behind_streets(t) if words else ()) if m["town"]]
+
+
+def with_terms(docs: DataFrame, key: str, text: str, others: DataFrame | None) -> DataFrame:
     """(key, text, more) of docs, where more holds those of `others` that stand in the text."""
     docs = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    more = "array<struct<k:string,t:string,v:int>>"
-    if others is None:
-        return docs.withColumn("more", F.lit(None).cast(more))
-    docs = cut(docs.withColumn("row", F.monotonically_increasing_id()))
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows, ks, ts = [], [], []
-            for row, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ws = {m[0].casefold() for m in _TOKEN.finditer(t)} if t else set()
-                # a capitalised word behind another may be more than a token
-                ws |= {m[1].casefold() for m in _PARTNER.finditer(t)} if t else set()
-                towns = set(_names_of_towns(t)) if ws else set()
-                for k, asked in (("given", ws), ("word", ws), ("town", towns)):
-                    rows += [row] * len(asked)
-                    ks += [k] * len(asked)
-                    ts += asked
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(ks, pa.string()), pa.array(ts, pa.string())], names=["row", "k", "t"])
-
-    met = docs.select("row", "text").mapInArrow(ask, "row bigint, k string, t string").join(others, ["k", "t"])
-    return docs.join(met.groupBy("row").agg(F.collect_list(F.struct("k", "t", "v")).alias("more")), "row", "left").select("key", "text", "more")
+    if others is not None:
+        docs = cut(docs.withColumn("row", F.monotonically_increasing_id()))
+    return lookup.attached(docs, others, _asked).select("key", "text", "more")
 
 
 # ----------------------------------------------------------------------------------------------------- places
 def find(text: str, terms: Terms) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the pieces of personal information in a text, in order, without overlap."""
     out: list[tuple[int, int, str]] = []
-    t = text if text.isascii() or not _WIDE_SIGNS.search(text) else text.translate(_WIDE)
+    t = _narrow(text)
     if any(x in t for x in _AT):
         out += [(m.start(), m.end(), "EMAIL") for m in _EMAIL.finditer(t)]
     if _NUMBERS.search(t):
@@ -379,7 +374,7 @@ def find(text: str, terms: Terms) -> list[tuple[int, int, str]]:
                 while t[end - 1] in " \n.-/(":
                     end -= 1
                 out.append((m.start(), end, kind))
-    for start, end, _, _ in _streets(t):
+    for start, end in _streets(t):
         m = _AFTER_STREET.match(t, end)
         if t[end : end + 9].strip().startswith("edition"):
             continue
@@ -474,7 +469,7 @@ def find_personal(docs: DataFrame, learnt: tuple[Terms, DataFrame | None], key:
             yield pa.RecordBatch.from_arrays(columns, names=["key", "places", "text"][: len(columns)])
 
     schema = f"key {kind}, places array<struct<start_char:int,end_char:int,kind:string>>" + (", text string" if keep_text else "")
-    return with_terms(docs, key, text, terms, others).mapInArrow(run, schema).withColumnRenamed("key", key)
+    return with_terms(docs, key, text, others).mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
 def places(docs: DataFrame, given_names: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -9,8 +9,8 @@ word before decides, by the counts of the pairs. A word's confidence against the
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections import ChainMap, Counter
+from collections.abc import Callable, Iterator, Mapping
 from functools import lru_cache
 
 import numpy as np
@@ -20,12 +20,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.lineage import cut
+from . import lookup
 from .layout import HEADER, HEADING, NOTICE, NUMBER, TEXT, page_lines, page_roles
 
 #: A word is in the lexicon from this count on; a misreading's correction must be RATIO times as frequent as itself.
 LEXICON_COUNT = 5
 RATIO = 15
-#: At most so many of the most frequent good words are sent to all tasks, to leave their places out early. The rest meets the corrections in a join.
+#: At most so many good words, compounds and first parts of compounds are sent to all tasks, most frequent first; pages get the rest that they ask for by a join.
 SENT_WORDS = 100_000
 FLUSH = 300_000
 #: Points of confidence below the middle of its line that make a word suspect.
@@ -221,6 +222,24 @@ class Page:
                 before = core(p)
 
 
+    def asked(self) -> list[tuple[str, str]]:
+        """The words that decide about broken words and about signs that stand for first letters, as (known, joined or first; word)."""
+        out = []
+        for i, nxt in self.broken.items():
+            a = core(self.pieces[i][-1][:-1])
+            out.append(("first", a + "-"))
+            if nxt is not None and nxt >= 0:
+                b = core(self.pieces[nxt][0])
+                out += [("known", a + b), ("known", a), ("known", b), ("joined", f"{a}-{b}")]
+        for w, *_, second, _ in self.whole_words():
+            if "\0" in w:
+                a, rest = w.split("\0")
+                out += [("known", core(a + rest)), ("joined", f"{core(a)}-{core(rest)}")]
+            elif sign := _SIGN_FIRST.match(w):
+                out += [("known", _LETTER_OF[sign[1]] + core(w)), ("known", core(w))]
+        return out
+
+
 def _pages(batch: pa.RecordBatch, names: list[str]) -> Iterator[tuple[int, Page]]:
     columns = (batch.column(names.index(n)).to_pylist() for n in ("texts", "widths", "repeated", "titles"))
     for row, page in enumerate(zip(*columns, strict=True)):
@@ -296,25 +315,26 @@ _PLACES = T.StructType(
 def marked(pages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(places, lines, counts): places(record_id, line_pos, word_pos, kind, word, right) of all broken and misread words, headers and page numbers."""
     confidence = F.transform("lines", lambda x: x["words"]["confidence"])
-    lines = cut(page_lines(pages.withColumn("confidences", confidence), "confidences"))
+    lines = cut(page_lines(pages.withColumn("confidences", confidence), "confidences").withColumn("row", F.monotonically_increasing_id()))
     counts = cut(word_counts(lines))
     fixes = cut(corrections(counts))
     best = fixes.groupBy("word").agg(F.min_by("right", F.struct("cost", -F.col("n"), "right")).alias("right"), F.min("cost").alias("cost"))
-    # words so frequent that they cannot be misreadings are left out of the join
-    good = counts.where(F.col("n") >= LEXICON_COUNT).join(best.select("word"), "word", "left_anti").orderBy(F.desc("n"), "word").limit(SENT_WORDS).toArrow()
-    # how often a word stands before a hyphen decides about compounds
-    compounds = counts.where((F.col("n") > 1) & F.col("word").contains("-")).orderBy(F.desc("n"), "word").limit(SENT_WORDS).toArrow()
-    sent = lines.sparkSession.sparkContext.broadcast((dict(zip(good.column(0).to_pylist(), good.column(1).to_pylist(), strict=True)), dict(zip(compounds.column(0).to_pylist(), compounds.column(1).to_pylist(), strict=True))))
+    # words so frequent that they cannot be misreadings are left out early; how often a word stands before a hyphen decides about compounds
+    entry = lambda k, t: [F.lit(k).alias("k"), t.alias("t"), F.col("n").alias("v"), F.col("n")]
+    good = counts.where(F.col("n") >= LEXICON_COUNT).join(best.select("word"), "word", "left_anti").select(*entry("known", F.col("word")))
+    compounds = counts.where((F.col("n") > 1) & F.col("word").contains("-"))
+    firsts = compounds.groupBy(F.concat(F.substring_index("word", "-", 1), F.lit("-")).alias("word")).agg(F.sum("n").alias("n"))
+    rows, others = lookup.divided(cut(good.unionByName(compounds.select(*entry("joined", F.col("word")))).unionByName(firsts.select(*entry("first", F.col("word"))))), SENT_WORDS)
+    sent = lines.sparkSession.sparkContext.broadcast({k: {r.t: r.v for r in rows if r.k == k} for k in ("known", "joined", "first")})
     names = lines.columns
+    seen_lines = lookup.attached(lines, others, lambda b: (page.asked() for _, page in _pages(b, names)))
+    more_at = len(names)
     kind = lines.schema["record_id"].dataType.simpleString()
     place_type = pa.struct([("line_pos", pa.int32()), ("word_pos", pa.int32()), ("kind", pa.string()), ("word", pa.string()), ("part", pa.int32()), ("cut", pa.int32()), ("suspect", pa.bool_()), ("before", pa.string())])
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, joined = sent.value
-        firsts = Counter()
-        for w, n in joined.items():
-            firsts[w.split("-")[0] + "-"] += n
         for b in batches:
+            more = b.column(more_at).to_pylist()
             conf = b.column(names.index("confidences"))
             inner = conf.values
             values = inner.values.to_numpy(zero_copy_only=False)
@@ -335,6 +355,7 @@ def marked(pages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
                 places.append({"line_pos": line, "word_pos": word, "kind": what, "word": text, "part": part, "cut": cut_at, "suspect": suspect, "before": before})
 
             for row, page in _pages(b, names):
+                known, joined, firsts = (ChainMap({m["t"]: m["v"] for m in more[row] if m["k"] == k}, sent.value[k]) if more[row] else sent.value[k] for k in ("known", "joined", "first"))
                 for i, role in enumerate(page.roles):
                     if role == HEADER:
                         put(row, i, -1, "header")
@@ -376,7 +397,7 @@ def marked(pages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
                             put(row, i, k, "word", core(text), second[0], len(a) - lead, suspects(row, i, k, len(page.pieces[i])) or suspects(row, second[0], 0, len(page.pieces[second[0]])), before)
             yield pa.RecordBatch.from_arrays([b.column(names.index("record_id")).take(pa.array(rows, pa.int64())), pa.array(places, place_type)], names=["record_id", "p"])
 
-    seen = lines.mapInArrow(look, T.StructType([T.StructField("record_id", lines.schema["record_id"].dataType), T.StructField("p", _PLACES)])).select("record_id", "p.*")
+    seen = seen_lines.mapInArrow(look, T.StructType([T.StructField("record_id", lines.schema["record_id"].dataType), T.StructField("p", _PLACES)])).select("record_id", "p.*")
     seen = seen.join(best, "word", "left")
     del kind
     far = F.when(F.length("word") <= 3, 0.35).when(F.length("word") == 4, 0.7).when(F.length("word") <= 8, 1.0).otherwise(1.4)
@@ -386,7 +407,7 @@ def marked(pages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return seen, lines, fixes
 
 
-def breaks(a: str, b: str | None, known: dict[str, int], compounds: dict[str, int], firsts: Counter, sign: str) -> bool:
+def breaks(a: str, b: str | None, known: Mapping[str, int], compounds: Mapping[str, int], firsts: Mapping[str, int], sign: str) -> bool:
     """Whether the hyphen after `a` only breaks a word that goes on with `b`, rather than being a compound's own."""
     if not a:
         return False
@@ -457,8 +478,10 @@ def repairs(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     words = seen.where("kind = 'word' or (kind = 'misread' and word is not null)").select("record_id", "line_pos", "word_pos", "part", "word", F.coalesce("before", F.lit("")).alias("before"))
     options = words.join(near, "word")
     # pairs are counted only for words that compete with another one
-    rivals = near.join(near.groupBy("word").count().where("count > 1"), "word", "left_semi").select("choice").distinct().orderBy("choice").limit(SENT_WORDS).collect()
-    wanted = lines.sparkSession.sparkContext.broadcast(frozenset(r.choice for r in rivals))
+    rivals = near.join(near.groupBy("word").count().where("count > 1"), "word", "left_semi").select("choice").distinct()
+    few = rivals.limit(SENT_WORDS + 1).collect()
+    # too many to be sent: all pairs are counted, and those that compete are picked by a join
+    wanted = lines.sparkSession.sparkContext.broadcast(frozenset(r.choice for r in few) if len(few) <= SENT_WORDS else None)
     names = lines.columns
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -474,13 +497,15 @@ def repairs(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
             for _, page in _pages(b, names):
                 for w, _, _, _, before in page.whole_words():
                     c = core(w.replace("\0", ""))
-                    if before and c in wanted.value:
+                    if before and (wanted.value is None or c in wanted.value):
                         seen_pairs[before, c] += 1
                 if len(seen_pairs) > FLUSH:
                     yield out()
         yield out()
 
     counted = lines.mapInArrow(pairs, "before string, choice string, times bigint").groupBy("before", "choice").agg(F.sum("times").alias("times"))
+    if len(few) > SENT_WORDS:
+        counted = counted.join(rivals, "choice", "left_semi")
     ranked = options.join(counted, ["before", "choice"], "left")
     order = F.struct(-F.coalesce("times", F.lit(0)), "cost", -F.col("n"), "choice")
     chosen = ranked.groupBy("record_id", "line_pos", "word_pos", "part").agg(F.min_by("choice", order).alias("right"))

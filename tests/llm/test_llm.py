@@ -281,6 +281,17 @@ def test_found_and_repaired(spark):
     assert text == "the keepers of the bridge near the garden and the hand-painted mirror near the weather"
 
 
+def test_words_beyond_the_bound_are_joined(spark, monkeypatch):
+    rows = [(i, "b", i, [line(t) for t in ("The garden of the old miller was sold, and the well-", "known keeper saw the gar-", "den by the half-timbered", f"house number {i} near the cottage.", "(ottage walls and gardcn paths are half-", "timbered, as the cot-", "tage is.")]) for i in range(40)]
+    df = pages(spark, [*rows, (99, "b", 99, [line("The gardcn was sold to the mil-"), line("ler, who keeps the half-"), line("timbered (ottage by the well-known"), line("keepcr of the garden.")])])
+    both = lambda: (sorted(map(tuple, repair.found(df).collect())), sorted(map(tuple, repair.repaired(df).collect())))
+    want = both()
+    assert any(r[0] == 99 and r[3] == "misread" for r in want[0]) and any(r[3] == "hyphen" for r in want[0])
+    monkeypatch.setattr(repair, "SENT_WORDS", 3)
+    assert both() == want
+
+
+
 # ---------------------------------------------------------------------------------------------------------- p6 prose
 COMMON = [("en", w) for w in "the of and to in a was".split()] + [("de", w) for w in "der die das und".split()] + [(None, "x"), ("en", None)]
 
@@ -443,7 +454,7 @@ def test_personal_information(spark):
 
 
 def test_terms_beyond_the_bound_are_joined(spark, monkeypatch):
-    df = spark.createDataFrame([*documents(spark), (900, "3 Weir Lane, Saltenby"), (901, "14 Weir Lane, Saltenby"), (902, None)], "doc_id bigint, text string")
+    df = spark.createDataFrame([*documents(spark), (900, "3 Weir Lane, Saltenby"), (901, "14 Weir Lane, Saltenby"), (902, None), (903, "２３ Weir Lane\nSaltenby, so wrote Imke Brackwick")], "doc_id bigint, text string")
     names = spark.createDataFrame([("Imke",), ("Tamsel",), ("Ulric",)], "given_name string")
     rows = lambda: sorted(map(tuple, personal.places(df, names).collect()))
     clean = lambda: sorted(map(tuple, personal.sanitised(df, names).collect()), key=str)
