@@ -10,6 +10,8 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from array import array
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -28,11 +30,12 @@ ALTERED_EVERY = 8
 
 K1, B = 1.2, 0.75
 BLOCK = 16
-#: Items indexed at once; more are searched in several blocks, each against all documents.
-ITEMS_AT_ONCE = 50_000
+#: Items indexed at once, by the characters of their texts (one text at least); more are searched in several blocks, each against all documents.
+CHARS_AT_ONCE = 20_000_000
 
-_INLINE = re.compile(r"</?(?:b|i|em|strong|span|a|u|s|sup|sub|mark|small)(?:\s[^<>]{0,200})?>", re.I)
-_TAG = re.compile(r"</?[a-zA-Z][^<>]{0,200}>|<!--.{0,500}?-->|&(?:nbsp|amp|lt|gt|quot|#\d{1,6});", re.S)
+_ATTRIBUTES = r"""(?:\s++[\w:.-]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'<>=]++))?)*+\s*+/?"""
+_INLINE = re.compile(rf"</?(?:b|i|em|strong|span|a|u|s|sup|sub|mark|small)(?![\w:-]){_ATTRIBUTES}>", re.I)
+_TAG = re.compile(rf"</?[a-zA-Z][\w:-]*+{_ATTRIBUTES}>|&(?:nbsp|amp|lt|gt|quot|#\d+);")
 _BROKEN = re.compile(r"(?<=\w)[-‐¬\xad][ \t]*\r?\n[> \t]*(?=\w)")
 _JOINED = re.compile(r"(?<=\w)[-‐‑](?=\w)")
 _MARKS = re.compile("[̀-ͯ]")
@@ -41,10 +44,18 @@ _WORD = re.compile(r"[^\W_]+")
 _CJK = re.compile("[぀-ヿ㐀-鿿豈-﫿]")
 
 
+def _without_comments(text: str) -> str:
+    parts, at = [], 0
+    while (begin := text.find("<!--", at)) >= 0 and (end := text.find("-->", begin + 4)) >= 0:
+        parts += [text[at:begin], " "]
+        at = end + 3
+    return "".join([*parts, text[at:]])
+
+
 def plain(text: str) -> str:
     """A text without what does not matter: case, accents, markup, digit width, words broken or joined by a hyphen."""
     if "<" in text or "&" in text:
-        text = _TAG.sub(" ", _INLINE.sub("", text))
+        text = _TAG.sub(" ", _INLINE.sub("", _without_comments(text)))
     if not text.isascii():
         text = _BROKEN.sub("", text)
         text = _MARKS.sub("", unicodedata.normalize("NFKD", text)).translate(_HIDDEN)
@@ -61,6 +72,18 @@ def signs_of(plain_text: str) -> list[str]:
     return list("".join(_WORD.findall(plain_text)))
 
 
+class Postings:
+    """The items of one term in order with their weights, and of each block of BLOCK items the greatest weight and the last item."""
+
+    __slots__ = ("items", "weights", "most", "last")
+
+    def __init__(self, rows: list[tuple[int, float]]) -> None:
+        self.items = array("i", (i for i, _ in rows))
+        self.weights = array("d", (w for _, w in rows))
+        self.most = array("d", (max(self.weights[k : k + BLOCK]) for k in range(0, len(rows), BLOCK)))
+        self.last = array("i", (self.items[min(k + BLOCK, len(rows)) - 1] for k in range(0, len(rows), BLOCK)))
+
+
 @dataclass
 class Index:
     """The items of one kind of token: words, or single signs."""
@@ -74,7 +97,7 @@ class Index:
     vocabulary: dict[str, int] = field(default_factory=dict)
     keys: np.ndarray | None = None
     bounds: np.ndarray | None = None
-    postings: list[list[tuple[float, list[tuple[int, float]]]]] = field(default_factory=list)
+    postings: list[Postings] = field(default_factory=list)
     thresholds: list[float] = field(default_factory=list)
 
     def grams(self, ids: np.ndarray) -> np.ndarray:
@@ -110,7 +133,7 @@ class Index:
                 lists[number[g]].append((i, weight[g]))
             self.thresholds.append(self._least(gs, weight) * 0.999)
         self.bounds = np.array([max(w for _, w in p) for p in lists]) if lists else np.zeros(0)
-        self.postings = [[(max(w for _, w in p[k : k + BLOCK]), p[k : k + BLOCK]) for k in range(0, len(p), BLOCK)] for p in lists]
+        self.postings = [Postings(p) for p in lists]
         return self
 
     def _least(self, gs: list[int], weight: dict[int, float]) -> float:
@@ -126,38 +149,59 @@ class Index:
         return least
 
     def search(self, terms: list[int], least: float) -> dict[int, float]:
-        """Block-max WAND: score of every item that reaches `least` for these distinct terms."""
-        flat = [[p for _, block in self.postings[t] for p in block] for t in terms]
-        at = [0] * len(terms)
+        """Block-max WAND: score of every item that reaches `least` for these distinct terms.
+
+        Lists are taken in order of their next items; the first at which the terms' greatest weights together reach `least` is the pivot. If the blocks that may hold the
+        pivot's item cannot reach it, all lists up to there jump over the block that ends first; else they move to the item, by bisection.
+        """
+        lists = [self.postings[t] for t in terms]
+        bounds = [float(self.bounds[t]) for t in terms]
+        end = len(self.names)
+        at = [0] * len(lists)
+        now = [p.items[0] for p in lists]
+        order = sorted(range(len(lists)), key=now.__getitem__)
         found: dict[int, float] = {}
+
+        def move(k: int, item: int) -> None:
+            """List k to its first item of at least `item`: over whole blocks first, then inside one."""
+            p = lists[k]
+            block = bisect_left(p.last, item, at[k] // BLOCK)
+            at[k] = bisect_left(p.items, item, max(at[k], block * BLOCK), min(len(p.items), block * BLOCK + BLOCK)) if block < len(p.last) else len(p.items)
+            now[k] = p.items[at[k]] if at[k] < len(p.items) else end
+
         while True:
-            live = sorted((flat[k][at[k]][0], k) for k in range(len(terms)) if at[k] < len(flat[k]))
-            bound, pivot = 0.0, None
-            for place, (item, k) in enumerate(live):
-                bound += self.bounds[terms[k]]
+            bound, pivot = 0.0, -1
+            for place, k in enumerate(order):
+                if now[k] >= end:
+                    break
+                bound += bounds[k]
                 if bound >= least:
                     pivot = place
                     break
-            if pivot is None:
+            if pivot < 0:
                 return found
-            item = live[pivot][0]
-            while pivot + 1 < len(live) and live[pivot + 1][0] == item:
+            item = now[order[pivot]]
+            while pivot + 1 < len(order) and now[order[pivot + 1]] == item:
                 pivot += 1
-            block = sum(self.postings[terms[k]][at[k] // BLOCK][0] for _, k in live[: pivot + 1])
-            if live[0][0] == item:
-                score = 0.0
-                if block >= least:
-                    score = sum(flat[k][at[k]][1] for _, k in live[: pivot + 1])
-                for _, k in live[: pivot + 1]:
-                    at[k] += 1
+            front = order[: pivot + 1]
+            # the blocks that would hold the item, without going there
+            blocks = [bisect_left(lists[k].last, item, at[k] // BLOCK) for k in front]
+            held = sum(lists[k].most[b] for k, b in zip(front, blocks, strict=True) if b < len(lists[k].most))
+            if held < least:
+                beyond = min([lists[k].last[b] + 1 for k, b in zip(front, blocks, strict=True) if b < len(lists[k].last)] + [now[k] for k in order[pivot + 1 : pivot + 2]] + [end])
+                for k in front:
+                    move(k, max(beyond, item + 1))
+            elif now[front[0]] == item:
+                score = sum(lists[k].weights[at[k]] for k in front)
                 if score >= least:
                     found[item] = score
+                for k in front:
+                    move(k, item + 1)
             else:
-                # lists before the pivot move on to its item
-                for first, k in live[: pivot + 1]:
-                    if first < item:
-                        while at[k] < len(flat[k]) and flat[k][at[k]][0] < item:
-                            at[k] += 1
+                for k in front:
+                    if now[k] < item:
+                        move(k, item)
+            order.sort(key=now.__getitem__)
 
     def verify(self, doc: list[int], item: list[int]) -> tuple[int, bool]:
         """Longest run of the item's tokens in doc, and whether a passage counts, unaltered or altered."""
@@ -260,7 +304,7 @@ def leaked(index: Index, docs: list[list[str]]) -> list[tuple[int, int, float, i
 def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, score, longest_run): every document that holds a passage of an item, with each item it holds.
 
-    The items are indexed on the driver and sent to all tasks in blocks of ITEMS_AT_ONCE; documents are read once for each block and never shuffled before the
+    The items are indexed on the driver and sent to all tasks in blocks of CHARS_AT_ONCE; documents are read once for each block and never shuffled before the
     search. Null, empty and too short texts and items leak nothing; repeated rows of either side give one row; other columns are ignored.
     """
     spark = docs.sparkSession
@@ -292,11 +336,13 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
         return source.mapInArrow(run, schema)
 
     block: list[tuple[object, str]] = []
+    size = 0
     for row in known:
-        block.append((row[0], row[1]))
-        if len(block) == ITEMS_AT_ONCE:
+        if block and size + len(row[1]) > CHARS_AT_ONCE:
             results.append(searched(block))
-            block = []
+            block, size = [], 0
+        block.append((row[0], row[1]))
+        size += len(row[1])
     if block or not results:
         results.append(searched(block))
     out = results[0]
