@@ -93,46 +93,61 @@ def cardinality(bitmaps: DataFrame, *by: str) -> DataFrame:
     return bitmaps.groupBy(*by).agg(F.sum(F.bit_count("bits")).alias("n_pages"))
 
 
-#: Keys of fewer letters have no variants; longer ones may differ by one letter in EDIT_EVERY, at most by MAX_EDITS.
+#: Keys of fewer letters have no variants: a letter less or more makes other words of them. Longer ones may differ by one letter in EDIT_EVERY, at most by MAX_EDITS.
 MIN_LETTERS = 6
 EDIT_EVERY = 8
 MAX_EDITS = 3
-GRAM = 4
+#: A spelling on so large a share of the pages that a content needs, and on two at least, is a core that others are compared with.
+CORE_SHARE = 0.2
+
+
+def _edits(letters: Column) -> Column:
+    return F.least(F.lit(MAX_EDITS), F.floor(letters / EDIT_EVERY) + 1).cast("int")
+
+
+def _gram(letters: Column) -> Column:
+    """The length of the grams by which keys of so many letters meet: one disjoint gram more than there may be edits fits in. Longer keys meet by longer grams, which fewer share."""
+    return F.when(letters >= 40, 8).when(letters >= 24, 6).when(letters >= 16, 4).otherwise(F.floor(letters / (_edits(letters) + 1))).cast("int")
 
 
 def _grams_at(key: Column) -> Column:
-    """Four disjoint grams of a key: MAX_EDITS letters can spoil only three of them (fewer for keys under 4 * GRAM letters, which are allowed fewer edits)."""
+    """Disjoint grams of a key, one more than it may have edits: at least one is left unspoilt."""
     n = F.length(key)
-    starts = F.array(*[F.floor((n - GRAM) * i / 3).cast("int") + 1 for i in range(4)])
-    return F.array_distinct(F.transform(starts, lambda i: F.substr(key, i, F.lit(GRAM))))
+    g, last = _gram(n), _edits(n)
+    return F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda i: F.substr(key, F.floor((n - g) * i / last).cast("int") + 1, g)))
 
 
 def _all_grams(key: Column) -> Column:
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(key) - GRAM + 1), lambda i: F.substr(key, i, F.lit(GRAM))))
+    """All grams of a key of the lengths at which a key of up to MAX_EDITS letters more or less may ask."""
+    n = F.length(key)
+    sizes = F.array_distinct(F.array(*[_gram(F.greatest(n + d, F.lit(2))) for d in range(-MAX_EDITS, MAX_EDITS + 1)]))
+    of = lambda g: F.transform(F.sequence(F.lit(1), n - g + 1), lambda i: F.substr(key, i, g))
+    return F.array_distinct(F.flatten(F.transform(F.filter(sizes, lambda g: g <= n), of)))
 
 
-def variants(counts: DataFrame, min_core: int) -> DataFrame:
-    """(book_id, core, key): for each key on at least min_core pages the keys of its book within a few letters, itself included.
+def variants(counts: DataFrame) -> DataFrame:
+    """(book_id, core, key): for each key of counts (book_id, key, n_pages, needed) that is a core the keys of its book within a few letters, itself included.
 
-    Keys meet by a gram they share: the core offers all its grams, the other key four disjoint ones. Both sides are spread by (book, gram).
+    Keys meet by a gram they share: the core offers all its grams, the other key disjoint ones. Both sides are spread by (book, gram); a large book needs many pages for a
+    core, so that a frequent gram of it meets few cores.
     """
-    cores = counts.where(F.col("n_pages") >= min_core).select("book_id", F.col("key").alias("core"))
+    cores = counts.where(F.col("n_pages") >= F.greatest(F.lit(2), CORE_SHARE * F.col("needed"))).select("book_id", F.col("key").alias("core"))
     selves = cores.select("book_id", "core", F.col("core").alias("key"))
     offered = cores.where(F.length("core") >= MIN_LETTERS).select("book_id", "core", F.explode(_all_grams(F.col("core"))).alias("gram"))
     asked = counts.where(F.length("key") >= MIN_LETTERS).select("book_id", "key", F.explode(_grams_at(F.col("key"))).alias("gram"))
-    edits = F.least(F.lit(MAX_EDITS), F.floor(F.greatest(F.length("core"), F.length("key")) / EDIT_EVERY) + F.lit(1)).cast("int")
+    edits = _edits(F.least(F.length("core"), F.length("key")))
     met = asked.join(offered, ["book_id", "gram"]).where((F.col("core") != F.col("key")) & (F.abs(F.length("core") - F.length("key")) <= edits)).select("book_id", "core", "key").distinct()
-    near = met.where(F.expr(f"levenshtein(core, key) <= least({MAX_EDITS}, floor(greatest(length(core), length(key)) / {EDIT_EVERY}) + 1)"))
+    near = met.where(F.levenshtein("core", "key") <= edits)
     return selves.unionByName(near)
 
 
 def repeated_keys(pages: DataFrame, lines: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """(book_id, key): keys whose content, variants united, stands on at least min_pages different pages and on min_share of the book's."""
     bitmaps = page_bitmaps(lines)
-    pairs = variants(cardinality(bitmaps, "book_id", "key"), max(2, (min_pages + 1) // 2))
+    books = pages.where("page_num is not null").groupBy("book_id").agg(F.greatest(F.lit(float(min_pages)), F.lit(min_share) * F.count_distinct("page_num")).alias("needed"))
+    pairs = variants(cardinality(bitmaps, "book_id", "key").join(books, "book_id"))
     united = bitmaps.join(pairs, ["book_id", "key"]).groupBy("book_id", "core", "word").agg(F.bit_or("bits").alias("bits"))
-    pages_of = pages.where("page_num is not null").groupBy("book_id").agg(F.count_distinct("page_num").alias("book_pages"))
-    passing = cardinality(united, "book_id", "core").where(F.col("n_pages") >= min_pages).join(pages_of, "book_id").where(F.col("n_pages") >= F.lit(min_share) * F.col("book_pages"))
+    passing = cardinality(united, "book_id", "core").join(books, "book_id").where(F.col("n_pages") >= F.col("needed"))
     return pairs.join(passing.select("book_id", "core"), ["book_id", "core"], "left_semi").select("book_id", "key").distinct()
 
 

@@ -221,6 +221,39 @@ def test_thai_learns_its_ends(spark):
     assert got == [(0, e) for e in ends(first)] + [(1, e) for e in ends(second)] + [(2, e) for e in ends(third)]
 
 
+def test_variants_against_levenshtein(spark):
+    """Every pair of keys within the allowed edits meets, whatever their lengths and wherever the edits are."""
+    rng = random.Random(3)
+    letters = "abcdefghijklmnop"
+    rows = []
+    for n in [*range(5, 18), 23, 24, 25, 39, 40, 41, 60]:
+        for _ in range(6):
+            key = [rng.choice(letters) for _ in range(n)]
+            rows.append(("b", "".join(key), 5, 5.0))
+            for _ in range(8):
+                other = list(key)
+                for _ in range(rng.randrange(1, 4)):
+                    at = rng.randrange(len(other))
+                    other[at : at + rng.randrange(2)] = rng.choice([[], ["x"], ["y", "z"]])
+                rows.append(("b", "".join(other), 1, 5.0))
+    rows = list({(r[0], r[1]): r for r in rows}.values())
+    counts = spark.createDataFrame(rows, "book_id string, key string, n_pages int, needed double")
+    got = {(r.core, r.key) for r in repeats.variants(counts).collect()}
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    cores = [k for _, k, n, _ in rows if n == 5]
+    want = {(c, k) for c in cores for _, k, _, _ in rows if c == k or (min(len(c), len(k)) >= 6 and abs(len(c) - len(k)) <= 3 and distance(c, k) <= min(3, min(len(c), len(k)) // 8 + 1))}
+    assert got == want and len(want) > 2 * len(cores)
+
+
 # ---------------------------------------------------------------------------------------------------------- p4 repair
 def test_distances():
     assert repair.distance("rnill", "mill") == pytest.approx(0.4) and repair.distance("wh@t", "what") == pytest.approx(0.3)
