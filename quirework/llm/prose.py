@@ -53,7 +53,7 @@ def _words_pattern(words: list[str]) -> str:
 
 
 def page_statistics(pages: DataFrame, common_words: DataFrame) -> DataFrame:
-    """(record_id, language, n_lines, n_words, n_chars, then NAMES): statistics of each page with lines.
+    """(record_id, language, n_lines, n_words, n_chars, then NAMES, then marked_chars): statistics of each page with lines.
 
     language is read off the page: by script, among languages in Latin script by common words. Null lines, texts and confidences take no part; a page without any
     non-blank line gives no row; a page without confidences gets the neutral confidence 90. Repeated rows give repeated rows.
@@ -106,12 +106,13 @@ def page_statistics(pages: DataFrame, common_words: DataFrame) -> DataFrame:
     punctuation = nonspace - F.col("letters") - F.col("digits")
     common = F.coalesce(*[F.when(F.col("language") == k, F.col(f"w_{k}")) for k in words], F.lit(None).cast("int"))
     own_script = F.coalesce(*[F.when(F.col("language") == k, F.col(f"s_{k}") + (F.col("s_zh") if k == "ja" else F.lit(0))) for k in _SCRIPTS], F.col("latin"))
-    return page.select(
+    page = page.select(
         "record_id",
         "language",
         "n_lines",
         "n_words",
         "n_chars",
+        "x",
         F.log1p(F.col("n_words") / n_lines).alias("words_per_line"),
         F.log1p(nonspace / F.col("n_words")).alias("word_length"),
         share(count(_ENDS)).alias("ends_share"),
@@ -130,6 +131,10 @@ def page_statistics(pages: DataFrame, common_words: DataFrame) -> DataFrame:
         # only where Latin letters make up half of the letters; else what is usual
         F.when(F.col("latin") * 2 > F.col("letters"), count(_VOWELS) / F.col("latin")).otherwise(F.lit(0.38)).alias("vowels"),
     )
+    marked = lambda t: t.rlike("|".join(f"(?:{p})" for p in (_BULLET, _LEADER, _INDEX, _SEE, _TABLE_ROW, _RULE)))
+    chars = F.aggregate(F.filter(F.split("x", "\n"), marked), F.lit(0), lambda a, t: a + F.length(t)) / F.col("n_chars")
+    # looked at only where many lines are of a list or a table
+    return page.withColumn("marked_chars", F.when(F.col("bullet_share") + F.col("leader_share") + F.col("index_share") + F.col("row_share") >= 0.4, chars).otherwise(F.lit(0.0))).drop("x")
 
 
 # ------------------------------------------------------------------------------------------------ prose moments
@@ -189,8 +194,11 @@ def distances(stats: DataFrame, moments: dict[str, tuple[np.ndarray, np.ndarray]
     return stats.mapInArrow(measure, f"{fields}, distance double, contributions array<double>")
 
 
-#: A page is no prose only beyond this squared distance.
+#: A page is no prose only beyond this squared distance, and junk only if the statistics of junk contribute this share of it: pages of unusual size are far off by their shape alone.
 FAR = 40.0
+JUNK_CONTRIBUTION = 0.3
+#: The lines of a list or table hold at least this share of its characters; a few of them beside long lines make none.
+MARKED_CHARS = 0.3
 
 
 def _group(name: str) -> Column:
@@ -203,10 +211,12 @@ def classified(pages: DataFrame, common_words: DataFrame) -> DataFrame:
     far = distances(stats, prose_moments(stats)).withColumns({f"g_{k}": _group(k) for k in GROUPS})
     c = F.col
     listed = F.greatest(c("bullet_share"), c("leader_share"), c("index_share"), c("bullet_share") + c("leader_share") + c("index_share"))
+    lines = c("marked_chars") >= MARKED_CHARS
     evidence = {
-        "table": (c("row_share") >= 0.4) & (c("row_share") >= listed - 0.2),
-        "list": listed >= 0.45,
-        "junk": (c("symbol_ratio") >= 0.2) | (c("run_ratio") >= 0.3) | (c("mixed_share") >= 0.25) | (c("oddness") >= 0.5) | (c("vowels") <= 0.2) | (c("vowels") >= 0.7),
+        "table": lines & (c("row_share") >= 0.4) & (c("row_share") >= listed - 0.2),
+        "list": lines & (listed >= 0.45),
+        "junk": (c("g_junk") >= JUNK_CONTRIBUTION * c("distance"))
+        & ((c("symbol_ratio") >= 0.2) | (c("run_ratio") >= 0.3) | (c("mixed_share") >= 0.25) | (c("oddness") >= 0.5) | (c("vowels") <= 0.2) | (c("vowels") >= 0.7)),
     }
     most = F.greatest(*[F.when(evidence[k], c(f"g_{k}")).otherwise(F.lit(0.0)) for k in evidence])
     kind = F.when(c("distance") <= FAR, "prose").when(most <= 0, "prose")
