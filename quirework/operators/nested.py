@@ -13,13 +13,15 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import let
+
 #: A layout with more distinct paths than this is no record schema (keys are data); infer_layout refuses it.
 MAX_PATHS = 20_000
 
@@ -240,6 +242,41 @@ def flatten_json(payloads: DataFrame, key: str, column: str, record_fields: Iter
     return out
 
 
+def json_leaves(payloads: DataFrame, key: str, column: str, layout: Layout) -> DataFrame:
+    """(key, rec_pos, path, at): the innermost elements of each record, as a path of layout.arrays (its place there) and one position per level.
+
+    An element is innermost if no array below it holds a non-null element; null elements keep their position and give no row. The levels are walked down inside each record's row,
+    as positions only: a whole record is one row until the end, nothing of its content is copied, nothing is shuffled.
+    """
+    paths = layout.arrays
+    parent = {p: next((p[:n] for n in range(len(p) - 1, 0, -1) if p[:n] in paths), ()) for p in paths}
+
+    def below(v: Column, path: tuple[str, ...]) -> Column | None:
+        """array<struct<path, at>> of what is innermost below an element of a path (of the record for the empty one); null if no array can be there."""
+        parts = [elements(v, child, child[len(path) :]) for child in paths if parent[child] == path]
+        return F.concat(*parts) if parts else None
+
+    def elements(v: Column, path: tuple[str, ...], steps: tuple[str, ...]) -> Column:
+        for step in steps:
+            v = _child(v, step)
+        here = F.lit(paths.index(path)).alias("path")
+
+        def one(e: Column, i: Column) -> Column:
+            itself = F.array(F.struct(here, F.array(i).alias("at")))
+            inner = below(e, path)
+            if inner is None:
+                return F.when(_there(e), itself)
+            return F.when(_there(e), let(inner, lambda x: F.when(F.size(x) > 0, F.transform(x, lambda k: F.struct(k["path"].alias("path"), F.concat(F.array(i), k["at"]).alias("at")))).otherwise(itself)))
+
+        return F.coalesce(F.flatten(F.filter(F.transform(_array(v), one), lambda x: x.isNotNull())), F.array().cast("array<struct<path:int,at:array<int>>>"))
+
+    records = json_records(payloads, key, column, layout)
+    inner = below(F.col("rec"), ())
+    if inner is None:
+        return records.select(key, "rec_pos", F.lit(0).alias("path"), F.array().cast("array<int>").alias("at")).limit(0)
+    return records.select(key, "rec_pos", F.explode(inner).alias("leaf")).select(key, "rec_pos", "leaf.path", "leaf.at")
+
+
 def page_word_fields(value: Column) -> list[Column]:
     """text, x1, y1, x2, y2, confidence of a word or line VARIANT; boxes come as arrays or objects, numbers also as text."""
     box = [
@@ -252,6 +289,13 @@ def page_word_fields(value: Column) -> list[Column]:
 #: Names of which an object needs one to be a page record.
 PAGE_FIELDS = ("book_id", "page_num", "lines", "words")
 
+#: The arrays that page records have, also where no payload shows them.
+PAGE_ARRAYS = (("lines",), ("lines", "words"), ("words",))
+
+
+def _with_page_arrays(layout: Layout) -> Layout:
+    return replace(layout, arrays=tuple(sorted({*layout.arrays, *PAGE_ARRAYS})))
+
 
 def page_tables(payloads: DataFrame, key: str = "raw_id", column: str = "payload", layout: Layout | None = None) -> dict[str, DataFrame]:
     """Typed records, lines, words of lines and own words of a column of page payloads, linked by position.
@@ -259,12 +303,10 @@ def page_tables(payloads: DataFrame, key: str = "raw_id", column: str = "payload
     records(key, rec_pos, book_id, page_num, ...), lines(key, rec_pos, line_pos, line_id, text, box), words(key, rec_pos, line_pos, word_pos, text,
     box, confidence), where a record's own words have line_pos -1.
     """
-    layout = layout or infer_layout(payloads, column, PAGE_FIELDS)
-    records = json_records(payloads, key, column, layout)
-    rec = F.col("rec")
-    lines = json_children(records, [key, "rec_pos"], "rec", "lines", "line_pos", "value")
-    line_words = json_children(lines, [key, "rec_pos", "line_pos"], "value", "words", "word_pos", "word")
-    own = json_children(records, [key, "rec_pos"], "rec", "words", "word_pos", "word").select(key, "rec_pos", F.lit(-1).alias("line_pos"), "word_pos", "word")
+    layout = _with_page_arrays(layout or infer_layout(payloads, column, PAGE_FIELDS))
+    tables = flatten_json(payloads, key, column, PAGE_FIELDS, layout)
+    records, lines, rec = tables["record"], tables["lines"], F.col("rec")
+    own = tables["words"].select(key, "rec_pos", F.lit(-1).alias("line_pos"), "word_pos", "value")
     get = lambda name, kind: F.try_variant_get(rec, f"$.{name}", kind).alias(name)
     return {
         "records": records.select(
@@ -277,25 +319,18 @@ def page_tables(payloads: DataFrame, key: str = "raw_id", column: str = "payload
             get("printed_page_kind", "string"),
         ),
         "lines": lines.select(key, "rec_pos", "line_pos", F.try_variant_get(F.col("value"), "$.line_id", "string").alias("line_id"), *page_word_fields(F.col("value"))[:5]),
-        "words": line_words.unionByName(own).select(key, "rec_pos", "line_pos", "word_pos", *page_word_fields(F.col("word"))),
+        "words": tables["lines.words"].unionByName(own).select(key, "rec_pos", "line_pos", "word_pos", *page_word_fields(F.col("value"))),
     }
 
 
 def page_positions(payloads: DataFrame, key: str = "raw_id", column: str = "payload", layout: Layout | None = None) -> DataFrame:
     """(key, rec_pos, line_pos, word_pos): the places of all words, of all lines without words (word_pos -1), and of the records' own words (line_pos -1).
 
-    The word level is exploded as positions only, so no word's content is copied; nothing is shuffled.
+    These are the innermost elements of the page arrays; arrays of unknown fields are not gone into.
     """
-    layout = layout or infer_layout(payloads, column, PAGE_FIELDS)
-    records = json_records(payloads, key, column, layout)
-
-    def places(v: Column) -> Column:
-        return F.filter(F.transform(_array(_child(v, "words")), lambda w, i: F.when(_there(w), i)), lambda i: i.isNotNull())
-
-    # one pass: a record's own words stand as line -1 beside its lines
-    lines = F.coalesce(_array(_child(F.col("rec"), "lines")), F.array().cast("array<variant>"))
-    seen = F.transform(lines, lambda line, i: F.struct(i.alias("line_pos"), _there(line).alias("there"), places(line).alias("at")))
-    listed = F.transform(seen, lambda x: F.struct(x["line_pos"].alias("line_pos"), F.when(x["there"], F.when(F.size(x["at"]) > 0, x["at"]).otherwise(F.array(F.lit(-1)))).alias("at")))
-    own = F.array(F.struct(F.lit(-1).alias("line_pos"), places(F.col("rec")).alias("at")))
-    table = records.select(key, "rec_pos", F.explode(F.concat(listed, own)).alias("line")).where("line.at is not null")
-    return table.select(key, "rec_pos", F.col("line.line_pos").alias("line_pos"), F.explode("line.at").alias("word_pos"))
+    layout = _with_page_arrays(layout or infer_layout(payloads, column, PAGE_FIELDS))
+    layout = replace(layout, arrays=tuple(p for p in layout.arrays if p in PAGE_ARRAYS))
+    own = F.col("path") == layout.arrays.index(("words",))
+    at = lambda i: F.coalesce(F.get("at", F.lit(i)), F.lit(-1))
+    leaves = json_leaves(payloads, key, column, layout)
+    return leaves.select(key, "rec_pos", F.when(own, -1).otherwise(at(0)).alias("line_pos"), F.when(own, at(0)).otherwise(at(1)).alias("word_pos"))

@@ -205,9 +205,12 @@ _PIPELINE = (
 )
 
 
-ORACLES: dict[str, str] = {
-    "p1_found": f"""
-        WITH t AS (SELECT raw_id, trim(payload, chr(65279) || ' ' || chr(9) || chr(10) || chr(13)) AS p FROM raw_pages),
+def _scalar(of: str, name: str) -> str:
+    """A field of an object as text; null unless it is a scalar."""
+    return f"CASE WHEN json_type({of}, '$.{name}') NOT IN ('NULL', 'OBJECT', 'ARRAY') THEN json_extract_string({of}, '$.{name}') END"
+
+
+_RAW_LEVELS = f"""t AS (SELECT raw_id, trim(payload, chr(65279) || ' ' || chr(9) || chr(10) || chr(13)) AS p FROM raw_pages),
         v AS (SELECT raw_id, CAST(p AS JSON) AS v FROM t WHERE json_valid(p)),
         b AS (SELECT raw_id, CASE json_type(v) WHEN 'ARRAY' THEN json_extract(v, '$[*]') WHEN 'OBJECT' THEN CASE WHEN json_type(v, '$.pages') = 'ARRAY' THEN json_extract(v, '$.pages[*]')
             WHEN json_type(v, '$.records') = 'ARRAY' THEN json_extract(v, '$.records[*]') WHEN json_type(v, '$.page') = 'OBJECT' THEN [json_extract(v, '$.page')] ELSE [v] END END AS b FROM v),
@@ -215,10 +218,28 @@ ORACLES: dict[str, str] = {
         a AS (SELECT raw_id, rec_pos, {_elements("rec", "lines")} AS ls, {_elements("rec", "words")} AS ws FROM r WHERE json_type(rec) = 'OBJECT'),
         l AS (SELECT raw_id, rec_pos, generate_subscripts(ls, 1) - 1 AS line_pos, unnest(ls) AS line FROM a),
         lw AS (SELECT raw_id, rec_pos, line_pos, {_elements("line", "words")} AS ws FROM l WHERE json_type(line) <> 'NULL'),
-        o AS (SELECT * FROM lw UNION ALL SELECT raw_id, rec_pos, -1 AS line_pos, ws FROM a),
+        o AS (SELECT * FROM lw UNION ALL SELECT raw_id, rec_pos, -1 AS line_pos, ws FROM a)"""
+
+
+ORACLES: dict[str, str] = {
+    "p1_found": f"""
+        WITH {_RAW_LEVELS},
         w AS (SELECT raw_id, rec_pos, line_pos, list_filter(list_transform(coalesce(ws, []), lambda x, i: CASE WHEN json_type(x) <> 'NULL' THEN i - 1 END), lambda i: i IS NOT NULL) AS places FROM o)
         SELECT raw_id, CAST(rec_pos AS INTEGER) AS rec_pos, CAST(line_pos AS INTEGER) AS line_pos, CAST(unnest(CASE WHEN len(places) = 0 AND line_pos >= 0 THEN [-1] ELSE places END) AS INTEGER) AS word_pos FROM w
     """,
+    "p1_records": f"""
+        WITH {_RAW_LEVELS}
+        SELECT raw_id, CAST(rec_pos AS INTEGER) AS rec_pos, {_scalar("rec", "book_id")} AS book_id, TRY_CAST({_scalar("rec", "page_num")} AS INTEGER) AS page_num FROM r WHERE json_type(rec) <> 'NULL'
+    """,
+    "p1_lines": f"""
+        WITH {_RAW_LEVELS}
+        SELECT raw_id, CAST(rec_pos AS INTEGER) AS rec_pos, CAST(line_pos AS INTEGER) AS line_pos, {_scalar("line", "line_id")} AS line_id, {_scalar("line", "text")} AS text FROM l WHERE json_type(line) <> 'NULL'
+    """,
+    "p1_words": f"""
+        WITH {_RAW_LEVELS},
+        w AS (SELECT raw_id, rec_pos, line_pos, generate_subscripts(ws, 1) - 1 AS word_pos, unnest(ws) AS w FROM o)
+        SELECT raw_id, CAST(rec_pos AS INTEGER) AS rec_pos, CAST(line_pos AS INTEGER) AS line_pos, CAST(word_pos AS INTEGER) AS word_pos, {_scalar("w", "text")} AS text FROM w WHERE json_type(w) <> 'NULL'
+    """,
     "p1_page_words": """
         WITH l AS (SELECT record_id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS line_pos FROM page_records),
         w AS (SELECT record_id, line_pos, unnest(line.words) AS word, generate_subscripts(line.words, 1) - 1 AS word_pos FROM l WHERE line IS NOT NULL)

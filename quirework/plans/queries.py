@@ -25,6 +25,25 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.page_positions(table(spark, sf_dir, "raw_pages"))
 
 
+def _raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return nested.page_tables(table(spark, sf_dir, "raw_pages"))
+
+
+def p1_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of raw_pages.payload as a flat table."""
+    return _raw_tables(spark, sf_dir)["records"].select("raw_id", "rec_pos", "book_id", "page_num")
+
+
+def p1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of raw_pages.payload as a flat table, linked to their record by position."""
+    return _raw_tables(spark, sf_dir)["lines"].select("raw_id", "rec_pos", "line_pos", "line_id", "text")
+
+
+def p1_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of raw_pages.payload as a flat table, linked to record and line by position; a record's own words stand at line_pos -1."""
+    return _raw_tables(spark, sf_dir)["words"].select("raw_id", "rec_pos", "line_pos", "word_pos", "text")
+
+
 def p1_page_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words level of page_records as a flat table, linked to record and line by position."""
     pages = table(spark, sf_dir, "page_records").select("record_id", "lines")
