@@ -9,11 +9,13 @@ digits that follow on the other. For Thai, which has no stops, it learns the let
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from collections import ChainMap, Counter
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -166,9 +168,11 @@ def candidates(s: Stream, script: str) -> list[Candidate]:
 
 @dataclass
 class Model:
-    """Counts by (script, what, term)."""
+    """Counts by (script, what, term), and what the chain has learnt: emission weights by feature and the cost of a short step by script. Without these it is the seed."""
 
     counts: Mapping[tuple[str, str, str], int] = field(default_factory=dict)
+    weights: Mapping[tuple, float] | None = None
+    short: Mapping[str, float] = field(default_factory=dict)
 
     def ratio(self, script: str, yes: str, no: str, term: str, least: float = 0.5) -> float:
         """Log odds of a term among the ends against the rest, by each side's share."""
@@ -183,8 +187,33 @@ class Model:
         a, b = self.counts.get((script, "stop", word), 0), self.counts.get((script, "inner", word), 0)
         return max(-6.0, min(4.0, math.log(a + 0.9) - math.log(b + 0.1)))
 
+    def features(self, c: Candidate, script: str) -> list[tuple[tuple, float]]:
+        """What is seen at a place, as (feature, value); numbers come in quarters."""
+        if script == "th":
+            known = self.counts.get((script, "any4", c.word[-4:]), 0) > 1
+            before = self.ratio(script, "last4", "any4", c.word[-4:]) if known else self.ratio(script, "last3", "any3", c.word[-3:])
+            n = "4" if known else "3"
+            return [(("th", c.signs), 1.0), (("th", "follows", c.follows), 1.0), (("th", "paragraph", c.paragraph), 1.0), (("th", "before", n), round(4 * before) / 4), (("th", "after"), round(4 * self.ratio(script, "first", "next", c.after)) / 4)]
+        kind = "strong" if any(x in "!?。！？।॥؟۔" for x in c.signs) else "dots" if "…" in c.signs or ".." in c.signs else "dot"
+        group = script if script in ("ja", "zh", "ar", "hi") else "cased"
+        out = [((group, kind), 1.0), ((kind, "follows", c.follows), 1.0), ((kind, "paragraph", c.paragraph), 1.0), (("speaker", c.tag_follows), 1.0)]
+        if kind == "dot":
+            # a word met more often inside than at the end of sentences is an abbreviation
+            out += [((kind, "word", round(self.odds(script, c.word)) if c.word else "none"), 1.0), ((kind, "letter", len(c.word) == 1 and not c.word.isdigit() and group == "cased"), 1.0)]
+        elif kind == "dots":
+            share = sum(self.counts.get((script, k, c.after), 0) for k in ("small", "opens")) / max(1, self.counts.get((script, "word", c.after), 0)) if c.after else -1.0
+            out += [((kind, "word", group == "cased" if not c.word else "any"), 1.0), ((kind, "final"), round(4 * self.ratio(script, "final", "word", c.word, 0.3)) / 4 if c.word else 0.0)]
+            out.append(((kind, "after", 2 if share >= 0.3 else 1 if share >= 0.05 else 0 if share >= 0 else "none"), 1.0))
+        return out
+
     def score(self, c: Candidate, script: str) -> float:
         """Log odds of an end against none."""
+        if self.weights is None:
+            return self.seed(c, script)
+        return sum(self.weights.get(k, 0.0) * v for k, v in self.features(c, script))
+
+    def seed(self, c: Candidate, script: str) -> float:
+        """Log odds by rule of thumb, which only label the first round of training."""
         if script == "th":
             if c.paragraph:
                 return 4.0
@@ -229,7 +258,7 @@ def asked(c: Candidate, script: str) -> list[tuple[str, str, str]]:
     return [(script, k, t) for k, t in terms if t]
 
 
-#: Letters that a sentence has at least; a shorter step between two ends costs SHORT.
+#: Letters that a sentence mostly has at least; what a shorter step between two ends costs is learnt, SHORT before that.
 LEAST_LETTERS = {"th": 24}
 SHORT = 3.0
 
@@ -239,7 +268,7 @@ def decode(s: Stream, script: str, model: Model) -> list[int]:
     cs = candidates(s, script)
     if not cs:
         return []
-    least = LEAST_LETTERS.get(script, 2)
+    least, short = LEAST_LETTERS.get(script, 2), model.short.get(script, SHORT)
     # chain of ends: best score of a path whose last end is candidate k
     best, back = [], []
     # between two ends only the step length matters, and it stops mattering beyond `least` letters
@@ -250,7 +279,7 @@ def decode(s: Stream, script: str, model: Model) -> list[int]:
             v = behind.pop(0)
             if v[0] > run[0]:
                 run = (v[0], v[1])
-        here = max([(run[0], run[1]), *[(v[0] - SHORT, v[1]) for v in behind]])
+        here = max([(run[0], run[1]), *[(v[0] - short, v[1]) for v in behind]])
         score = model.score(c, script)
         best.append(here[0] + score)
         back.append(here[1])
@@ -379,6 +408,88 @@ def with_counts(running: DataFrame, model: Model, others: DataFrame | None) -> D
     return running.join(met.groupBy("row").agg(F.collect_list(F.struct("s", "k", "t", "n")).alias("more")), "row", "left").select(*running.columns, "more")
 
 
+#: The chain is trained on at most so many pages, spread by a hash of their ids, in so many rounds, with so strong a pull of all weights to zero.
+TRAINING_PAGES = 20_000
+ROUNDS = 2
+RIDGE = 0.5
+
+
+def _examples(s: Stream, script: str, model: Model, out: Counter) -> None:
+    """Counts (features, label) of a page as the model decodes it, and of its steps: (script, short or not, from an end to an end or to any candidate)."""
+    cs, ends = candidates(s, script), set(decode(s, script, model))
+    least, last = LEAST_LETTERS.get(script, 2), 0
+    for c in cs:
+        is_end = c.end in ends
+        out["place", tuple(model.features(c, script)), is_end] += 1
+        out["step", (script, c.end - last < least), is_end] += 1
+        if is_end:
+            last = c.end
+
+
+def fitted(examples: Mapping[tuple, int]) -> tuple[dict[tuple, float], dict[str, float]]:
+    """(weights, short) by the greatest likelihood of the labels, with a ridge; counts stand for equal examples."""
+    rows: dict[tuple, list[int]] = {}
+    for (what, seen, label), n in examples.items():
+        if what == "place":
+            rows.setdefault(seen, [0, 0])[label] += n
+    names = sorted({k for seen in rows for k, _ in seen}, key=repr)
+    at = {k: i for i, k in enumerate(names)}
+    x = np.zeros((len(rows), len(names)))
+    for i, seen in enumerate(sorted(rows, key=repr)):
+        for k, v in seen:
+            x[i, at[k]] += v
+    no, yes = (np.array([rows[seen][label] for seen in sorted(rows, key=repr)], float) for label in (0, 1))
+    w = np.zeros(len(names))
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (yes - (yes + no) * p) - RIDGE * w
+        bend = (x * ((yes + no) * p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(len(names))
+        step = np.linalg.solve(bend, slope)
+        w += np.clip(step, -2, 2)
+        if np.abs(step).max(initial=0) < 1e-4:
+            break
+    short = {}
+    for script in {seen[0] for (what, seen, _) in examples if what == "step"}:
+        n = {(is_short, label): examples.get(("step", (script, is_short), label), 0) for is_short in (False, True) for label in (False, True)}
+        # how much rarer short steps are between ends than from an end to any candidate
+        between = (n[True, True] + 0.5) / (n[True, True] + n[False, True] + 1)
+        any_ = (n[True, True] + n[True, False] + 0.5) / (sum(n.values()) + 1)
+        short[script] = max(0.0, math.log(any_ / between))
+    return dict(zip(names, w.tolist(), strict=True)), short
+
+
+def trained(running: DataFrame, model: Model) -> Model:
+    """The model with weights and step costs learnt by Viterbi training: pages are decoded, the chain is fitted to what was decoded, and once more.
+
+    The first labels are the seed's: places before small letters and commas are none, ends of paragraphs are ends, words mostly met inside sentences speak against one.
+    """
+    ids = running.select("row").orderBy(F.xxhash64("row"), "row").limit(TRAINING_PAGES)
+    pages = cut(running.join(F.broadcast(ids), "row", "left_semi").select(*running.columns).repartition(max(1, running.sparkSession.sparkContext.defaultParallelism)))
+    for _ in range(ROUNDS):
+        sent = running.sparkSession.sparkContext.broadcast(model)
+
+        def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen: Counter = Counter()
+            for b in batches:
+                more = b.column(b.schema.get_field_index("more")).to_pylist()
+                for row, s, script in _streams(b):
+                    _examples(s, script, _own(sent.value, more[row]), seen)
+            yield pa.RecordBatch.from_pydict({"seen": pa.array([pickle.dumps(k) for k in seen], pa.binary()), "n": pa.array(list(seen.values()), pa.int64())})
+
+        counts = pages.mapInArrow(label, "seen binary, n bigint").groupBy("seen").agg(F.sum("n").alias("n")).toArrow()
+        examples: Counter = Counter()
+        for k, n in zip(counts.column("seen").to_pylist(), counts.column("n").to_pylist(), strict=True):
+            examples[pickle.loads(k)] += n
+        weights, short = fitted(examples)
+        model = Model(model.counts, weights, short)
+    return model
+
+
+def _own(model: Model, more: list[dict] | None) -> Model:
+    """The model with the counts that a row brings along."""
+    return Model(ChainMap({(x["s"], x["k"], x["t"]): x["n"] for x in more}, model.counts), model.weights, model.short) if more else model
+
+
 def _page_units(pages: DataFrame) -> DataFrame:
     """The sentences of each page by itself, with book_id, page_num, script, row (one for each row of pages) and first (the page's first piece).
 
@@ -388,6 +499,7 @@ def _page_units(pages: DataFrame) -> DataFrame:
     kinds = ", ".join(f"{n} {running.schema[n].dataType.simpleString()}" for n in ("record_id", "book_id", "page_num"))
     model, others = learn(running)
     running = with_counts(running, model, others)
+    model = trained(running, model)
     sent = running.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -395,8 +507,7 @@ def _page_units(pages: DataFrame) -> DataFrame:
             rows, numbers, lines, ends, texts, firsts = [], [], [], [], [], []
             more = b.column(b.schema.get_field_index("more")).to_pylist()
             for row, s, script in _streams(b):
-                own = Model(ChainMap({(x["s"], x["k"], x["t"]): x["n"] for x in more[row]}, sent.value.counts)) if more[row] else sent.value
-                found = decode(s, script, own)
+                found = decode(s, script, _own(sent.value, more[row]))
                 begin, first = 0, True
                 for n, end in enumerate([*found, None]):
                     text = s.text[begin:end].strip()

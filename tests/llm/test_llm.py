@@ -325,6 +325,37 @@ def test_words_beyond_the_bound_are_joined(spark, monkeypatch):
 
 
 
+def test_the_chain_is_fitted_to_its_labels():
+    dot, upper, inside = (("cased", "dot"), 1.0), (("dot", "follows", "upper"), 1.0), (("dot", "word", -3), 1.0)
+    examples = {("place", (dot, upper), True): 90, ("place", (dot, upper), False): 2, ("place", (dot, inside), False): 40, ("place", (dot, inside), True): 1}
+    examples |= {("step", ("la", False), True): 80, ("step", ("la", True), False): 30, ("step", ("la", True), True): 1, ("step", ("la", False), False): 10}
+    weights, short = sentences.fitted(examples)
+    assert weights[upper[0]] > 1 and weights[inside[0]] < -1 and short["la"] > 1
+    assert sentences.fitted({}) == ({}, {})
+    # a clean separation stays finite
+    weights, _ = sentences.fitted({("place", (upper,), True): 1000, ("place", (inside,), False): 1000})
+    assert 3 < weights[upper[0]] < 12 and -12 < weights[inside[0]] < -3
+
+
+def test_thai_sentences_against_how_they_were_made(spark):
+    """Thai has no stops: the chain learns from paragraph ends alone; lines are wrapped anywhere."""
+    rng = random.Random(5)
+    who, what, where = "ชาวบ้าน คนสวน เสมียน พ่อค้า ช่างไม้".split(), "ซ่อมสะพานไม้ วาดแผนที่ เก็บจดหมาย ทาสีกำแพง".split(), "ก่อนฤดูหนาว ข้างโรงสี ในหมู่บ้าน ริมแม่น้ำ".split()
+    rows, true = [], set()
+    for i in range(150):
+        lines = []
+        for _ in range(3):
+            text, ends = "", []
+            for k in range(4):
+                text += (" " if text else "") + rng.choice(who) + rng.choice(what) + (" และ " + rng.choice(what) if k % 2 else "") + rng.choice(where) + rng.choice(["ครับ", "ค่ะ", "เลย", "แล้ว"])
+                ends.append(len(text))
+            true |= {(i, len(lines) + (e - 1) // 60, (e - 1) % 60 + 1) for e in ends}
+            lines += [text[k : k + 60] for k in range(0, len(text), 60)]
+        rows.append((i, "b", i, [line(t, 600 if len(t) == 60 else 8 * len(t)) for t in lines]))
+    got = set(map(tuple, sentences.sentence_ends(pages(spark, rows)).collect()))
+    assert len(got & true) >= 0.9 * len(true) and len(got & true) >= 0.9 * len(got), (len(true), len(got), len(got & true))
+
+
 # ---------------------------------------------------------------------------------------------------------- p6 prose
 COMMON = [("en", w) for w in "the of and to in a was".split()] + [("de", w) for w in "der die das und".split()] + [(None, "x"), ("en", None)]
 
