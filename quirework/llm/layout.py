@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..plans.lineage import cut
 from .repeats import cardinality, keyed_lines, page_bitmaps
@@ -157,3 +159,17 @@ def page_lines(pages: DataFrame, *more: str) -> DataFrame:
     widths = F.transform("lines", lambda x: (F.get(x["bbox"], F.lit(2)) - F.get(x["bbox"], F.lit(0))).cast("int"))
     rows = pages.where(F.size("lines") > 0).select("record_id", "book_id", "page_num", *more, texts.alias("texts"), widths.alias("widths"))
     return rows.join(furniture(pages), "record_id", "left")
+
+
+def with_roles(lines: DataFrame) -> DataFrame:
+    """lines, as `page_lines` gives them, with `roles` (one per line) in place of repeated and titles: worked out once, however often the pages are read."""
+    kept = [n for n in lines.columns if n not in ("repeated", "titles")]
+    names = lines.columns
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, widths, repeated, titles = (b.column(names.index(n)).to_pylist() for n in ("texts", "widths", "repeated", "titles"))
+            roles = [page_roles(t, [x if x else len(y or "") for x, y in zip(w, t, strict=True)], set(r or ()), set(h or ())) for t, w, r, h in zip(texts, widths, repeated, titles, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(b.column(names.index(n)) for n in kept), pa.array(roles, pa.list_(pa.string()))], names=[*kept, "roles"])
+
+    return lines.mapInArrow(add, T.StructType([*(lines.schema[n] for n in kept), T.StructField("roles", T.ArrayType(T.StringType()))]))

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from ..plans.lineage import cut
 from . import lookup
-from .layout import HEADER, HEADING, NOTICE, NUMBER, TEXT, page_lines, page_roles
+from .layout import HEADER, HEADING, NOTICE, NUMBER, TEXT, page_lines, with_roles
 
 #: A word is in the lexicon from this count on; a misreading's correction must be RATIO times as frequent as itself.
 LEXICON_COUNT = 5
@@ -177,10 +177,9 @@ def wrong_form(piece: str) -> bool:
 class Page:
     """Lines of a page with roles, and their words. broken: line -> (next text line) where a word goes on."""
 
-    def __init__(self, texts: list[str | None], widths: list[float | None], repeated: list[int] | None, titles: list[int] | None) -> None:
-        widths = [x if x else len(y or "") for x, y in zip(widths, texts, strict=True)]
+    def __init__(self, texts: list[str | None], roles: list[str]) -> None:
         self.texts = texts
-        self.roles = page_roles(texts, widths, set(repeated or ()), set(titles or ()))
+        self.roles = roles
         self.pieces = {i: (texts[i] or "").split(" ") for i, r in enumerate(self.roles) if r in (TEXT, HEADER, NOTICE, HEADING, NUMBER)}
         running = [i for i, r in enumerate(self.roles) if r == TEXT]
         self.running = running
@@ -241,7 +240,7 @@ class Page:
 
 
 def _pages(batch: pa.RecordBatch, names: list[str]) -> Iterator[tuple[int, Page]]:
-    columns = (batch.column(names.index(n)).to_pylist() for n in ("texts", "widths", "repeated", "titles"))
+    columns = (batch.column(names.index(n)).to_pylist() for n in ("texts", "roles"))
     for row, page in enumerate(zip(*columns, strict=True)):
         yield row, Page(*page)
 
@@ -315,7 +314,7 @@ _PLACES = T.StructType(
 def marked(pages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(places, lines, counts): places(record_id, line_pos, word_pos, kind, word, right) of all broken and misread words, headers and page numbers."""
     confidence = F.transform("lines", lambda x: x["words"]["confidence"])
-    lines = cut(page_lines(pages.withColumn("confidences", confidence), "confidences").withColumn("row", F.monotonically_increasing_id()))
+    lines = cut(with_roles(page_lines(pages.withColumn("confidences", confidence), "confidences")).withColumn("row", F.monotonically_increasing_id()))
     counts = cut(word_counts(lines))
     fixes = cut(corrections(counts))
     best = fixes.groupBy("word").agg(F.min_by("right", F.struct("cost", -F.col("n"), "right")).alias("right"), F.min("cost").alias("cost"))
@@ -531,23 +530,23 @@ def repaired(pages: DataFrame) -> DataFrame:
     """
     fixed, lines = repairs(pages)
     by_page = fixed.groupBy("record_id").agg(F.collect_list(F.struct("line_pos", "word_pos", "part", "right")).alias("fixes"))
-    table = lines.select("record_id", "texts", "widths", "repeated", "titles").join(by_page, "record_id", "left")
+    table = lines.select("record_id", "texts", "widths", "roles").join(by_page, "record_id", "left")
     names = table.columns
     kind = lines.schema["record_id"].dataType.simpleString()
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            changes = b.column(names.index("fixes")).to_pylist()
+            changes, all_widths = b.column(names.index("fixes")).to_pylist(), b.column(names.index("widths")).to_pylist()
             for row, page in _pages(b, names):
                 done = {(f["line_pos"], f["word_pos"]): f["right"] for f in changes[row] or () if f["right"]}
                 broken = {(f["line_pos"], f["word_pos"]) for f in changes[row] or () if not f["right"]}
                 parts: list[str] = []
                 now: list[str] = []
                 skip_first: set[int] = set()
-                widths = [w for i, w in enumerate(b.column(names.index("widths"))[row].as_py()) if page.roles[i] == TEXT and w]
+                line_widths = all_widths[row]
+                widths = [w for i, w in enumerate(line_widths) if page.roles[i] == TEXT and w]
                 usual = sorted(widths)[len(widths) * 3 // 4] if widths else 0
-                line_widths = b.column(names.index("widths"))[row].as_py()
                 for i, role in enumerate(page.roles):
                     if role not in (TEXT, HEADING, "list", "table", "junk"):
                         continue
