@@ -465,6 +465,22 @@ def test_markup_and_case_do_not_matter():
     assert leaks.words_of(leaks.plain("<b>Ca­fé</b> the corre-\nspondence １２ hand-made “X”")) == ["cafe", "the", "correspondence", "12", "handmade", "x"]
 
 
+def test_markup_of_any_length_is_left_out():
+    long = "x" * 5000
+    assert leaks.words_of(leaks.plain(f'One <a href="{long} > {long}" title=\'{long}\'>two</a> <!-- {long} <b> --> thr<b class={long}>ee</b><br/>four &amp; <!-- five')) == ["one", "two", "three", "four", "five"]
+    assert leaks.words_of(leaks.plain("if a <b and c, then d > e")) == "if a b and c then d e".split()
+
+
+def test_items_are_searched_in_blocks(spark, monkeypatch):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("abcdefghij") * 3 + str(rng.randrange(50)) for _ in range(30)) for _ in range(6)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+    docs = spark.createDataFrame([(10 + i, f"before {t} after") for i, t in enumerate(texts)] + [(20, None)], "doc_id bigint, text string")
+    for size in (leaks.CHARS_AT_ONCE, 250, 1):
+        monkeypatch.setattr(leaks, "CHARS_AT_ONCE", size)
+        assert sorted((r.doc_id, r.item_id) for r in leaks.find_leaks(docs, items).collect()) == [(10 + i, i) for i in range(6)]
+
+
 def test_search_against_scoring_all():
     rng = random.Random(6)
     index = leaks.build_indexes([(i, " ".join(rng.choices([f"w{k}" for k in range(12)], k=40))) for i in range(60)])[0]
@@ -472,9 +488,8 @@ def test_search_against_scoring_all():
         terms = sorted(rng.sample(range(len(index.keys)), 12))
         score = {}
         for t in terms:
-            for _, block in index.postings[t]:
-                for i, w in block:
-                    score[i] = score.get(i, 0) + w
+            for i, w in zip(index.postings[t].items, index.postings[t].weights, strict=True):
+                score[i] = score.get(i, 0) + w
         least = sorted(score.values())[len(score) // 2]
         got = index.search(terms, least)
         assert {i: pytest.approx(s) for i, s in score.items() if s >= least + 1e-9}.keys() <= got.keys() <= {i for i, s in score.items() if s >= least - 1e-9}
